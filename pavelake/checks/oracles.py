@@ -192,7 +192,7 @@ _MODEL_COLUMNS = ("vehicle_id, event_ts, hour, peak_flag, traffic_volume_int, co
                   "incident_flag_int, road_id, city_zone, weather, traffic_band, speed_int")
 
 _CLOSED = """
-  WHERE window_end <= (SELECT max(event_ts) FROM silver) - INTERVAL 15 MINUTE"""
+  WHERE window_end <= (SELECT date_trunc('millisecond', max(event_ts)) FROM silver) - INTERVAL 15 MINUTE"""
 
 
 def _one_hot(column: str) -> str:
@@ -203,6 +203,14 @@ def _one_hot(column: str) -> str:
 _SILVER_WITHOUT_ARRIVAL = "SELECT * EXCLUDE (kafka_timestamp) FROM silver"
 
 
+_RAW_GAPS = ("REPLACE (CAST(congestion_level AS DOUBLE) AS congestion_level, CAST(traffic_volume AS DOUBLE) AS "
+             "traffic_volume, CAST(incident_flag AS DOUBLE) AS incident_flag)")
+_TYPED_GAPS = _RAW_GAPS[:-1] + "".join(
+    f", CAST({name} AS DOUBLE) AS {name}"
+    for name in ("congestion_level_int", "traffic_volume_int", "incident_flag_int", "speed_int")) + ")"
+_MIDNIGHT = "REPLACE (CAST(event_date AS TIMESTAMP) AS event_date)"
+
+
 def oracles() -> dict[str, str]:
     profile = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, CAST(cid AS INTEGER) AS position, column_name, n AS row_count "
@@ -219,30 +227,32 @@ def oracles() -> dict[str, str]:
     )
     zone_rows = "SELECT * FROM zone_hourly"
     road_rows = "SELECT * FROM road_hourly"
-    fact_rows = "SELECT * FROM fact"
+    fact_rows = f"SELECT * {_MIDNIGHT} FROM fact"
     speed_by = "SELECT {0}, avg(speed_int) AS avg_speed, count(*) AS row_count FROM fact GROUP BY {0}"
     return {
-        "bronze_parse": _sql("SELECT * FROM bronze", "bronze"),
-        "bronze_stream": _sql("SELECT * FROM bronze", "bronze"),
+        "bronze_parse": _sql(f"SELECT * {_RAW_GAPS} FROM bronze", "bronze"),
+        "bronze_stream": _sql(f"SELECT * {_RAW_GAPS} FROM bronze", "bronze"),
         "encode_roundtrip": _sql(
             "SELECT vehicle_id, road_id, city_zone, speed, congestion_level, traffic_volume, incident_flag, "
             "weather, event_time, sent_at AS kafka_timestamp FROM payload", "payload"),
-        "silver_typed": _sql("SELECT * FROM typed", "typed"),
-        "dq_flags": _sql("SELECT * FROM flagged", "flagged"),
+        "silver_typed": _sql(f"SELECT * {_TYPED_GAPS} FROM typed", "typed"),
+        "dq_flags": _sql(f"SELECT * {_TYPED_GAPS} FROM flagged", "flagged"),
         "dq_reasons": _sql("SELECT raw_json, kafka_timestamp, invalid_reason, dq_flag, "
                            "CAST(CASE WHEN invalid_reason = '' THEN 0 "
                            "ELSE len(string_split(invalid_reason, '|')) END AS INTEGER) AS reason_count "
                            "FROM validated", "validated"),
         "silver_clean": _sql("SELECT * FROM clean", "clean"),
-        "silver_rejected": _sql("SELECT * FROM validated WHERE dq_flag = 'REJECTED'", "validated"),
-        "rejected_stream": _sql("SELECT * FROM validated WHERE dq_flag = 'REJECTED'", "validated"),
+        "silver_rejected": _sql(f"SELECT * {_TYPED_GAPS} FROM validated WHERE dq_flag = 'REJECTED'",
+            "validated"),
+        "rejected_stream": _sql(f"SELECT * {_TYPED_GAPS} FROM validated WHERE dq_flag = 'REJECTED'",
+            "validated"),
         "silver_rejected_split": _sql("SELECT raw_json, kafka_timestamp, vehicle_id, event_ts, invalid_reason, "
                                       "dq_flag FROM validated", "validated"),
         "silver_dedup": _sql("SELECT * FROM clean", "clean", twice=True),
         "silver_features": _sql("SELECT * FROM silver", "silver"),
         "silver_stream": _sql(_SILVER_WITHOUT_ARRIVAL, "silver", twice=True),
         "gold_fact": _sql(fact_rows, "fact"),
-        "fact_batch": _sql("SELECT event_date, city_zone, count(*) AS row_count, "
+        "fact_batch": _sql("SELECT CAST(event_date AS TIMESTAMP) AS event_date, city_zone, count(*) AS row_count, "
                            "CAST(sum(speed_int) AS BIGINT) AS speed_sum FROM fact GROUP BY ALL", "fact"),
         "gold_fact_stream": _sql(fact_rows, "fact"),
         "dim_zone": _sql("SELECT * FROM dim_zone", "dims"),
@@ -260,7 +270,8 @@ def oracles() -> dict[str, str]:
         "late_drop_audit": _sql(
             """SELECT l.vehicle_id, l.event_ts, l.city_zone, l.weather, l.speed_int, 'LATE_EVENT' AS invalid_reason
                FROM clean l WHERE epoch_us(l.event_ts) % 7 = 0 AND l.event_ts <= (
-                 SELECT max(event_ts) FROM clean WHERE epoch_us(event_ts) % 7 <> 0) - INTERVAL 15 MINUTE""",
+                 SELECT date_trunc('millisecond', max(event_ts)) FROM clean
+                 WHERE epoch_us(event_ts) % 7 <> 0) - INTERVAL 15 MINUTE""",
             "clean"),
         "rejected_summary": _sql("SELECT invalid_reason, count(*) AS row_count FROM validated "
                                  "WHERE dq_flag = 'REJECTED' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", "validated"),
@@ -314,5 +325,5 @@ def oracles() -> dict[str, str]:
             "round_even(1e6 * sum(abs(y - p)) / count(*), 0) / 1e6 AS mae FROM ("
             f"SELECT {_BUCKET} < 8 AS is_train, CAST(speed_int AS DOUBLE) AS y, {_GUESS} AS p FROM train) GROUP BY 1",
             "train"),
-        "unscored_rows": _sql(f"SELECT * FROM fact WHERE {_BUCKET} >= 8", "fact"),
+        "unscored_rows": _sql(f"SELECT * {_MIDNIGHT} FROM fact WHERE {_BUCKET} >= 8", "fact"),
     }

@@ -36,6 +36,9 @@ from pavelake.streaming.supervise import run_to_end
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_AVAILABLE = {"availableNow": True}
 
+GAPPY = ("congestion_level", "traffic_volume", "incident_flag", "congestion_level_int", "traffic_volume_int",
+         "incident_flag_int", "speed_int")
+
 # Small ensembles: the check is that fits run and score, not how good they get.
 FOREST_TREES = 5
 BOOSTING_ROUNDS = 5
@@ -43,11 +46,22 @@ BOOSTING_ROUNDS = 5
 
 def _wall_clock(df: DataFrame) -> DataFrame:
     return df.select(*[
-        F.col(name).cast("timestamp_ntz").alias(name) if dtype == "timestamp" else F.col(name)
+        F.col(name).cast("timestamp_ntz").alias(name) if dtype in ("timestamp", "date") else F.col(name)
         for name, dtype in df.dtypes
     ])
 
 
+def _with_gaps(query: Query) -> Query:
+    """Integer columns that hold NULLs leave as DOUBLE, as data frames on either side store them anyway."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = query(spark, sf_dir)
+        gaps = {*GAPPY} & set(df.columns)
+        return df.withColumns({name: F.col(name).cast("double") for name in gaps})
+
+    return run
+
+
 def _bronze(spark: SparkSession, sf_dir: str, redeliver: bool = False) -> DataFrame:
     return decode_messages(bindings.messages(bindings.events_batch(spark, sf_dir), redeliver))
 
@@ -346,15 +360,15 @@ def registered() -> dict[str, Query]:
         "record_key": lambda fact: with_record_key(fact).select("vehicle_id", "event_ts", "record_key"),
     }
     found: dict[str, Query] = {
-        "bronze_parse": bronze_parse,
-        "bronze_stream": bronze_stream,
+        "bronze_parse": _with_gaps(bronze_parse),
+        "bronze_stream": _with_gaps(bronze_stream),
         "encode_roundtrip": encode_roundtrip,
-        "silver_typed": silver_typed,
-        "dq_flags": dq_flags,
+        "silver_typed": _with_gaps(silver_typed),
+        "dq_flags": _with_gaps(dq_flags),
         "dq_reasons": dq_reasons,
         "silver_clean": silver_clean,
-        "silver_rejected": silver_rejected,
-        "rejected_stream": rejected_stream,
+        "silver_rejected": _with_gaps(silver_rejected),
+        "rejected_stream": _with_gaps(rejected_stream),
         "silver_rejected_split": silver_rejected_split,
         "silver_dedup": silver_dedup,
         "silver_features": silver_features,

@@ -14,11 +14,10 @@ _FRACTION_ONLY = rf"^{_PAD}[+-]?\.[0-9]*{_PAD}$"
 
 
 def lenient_int(text: Column) -> Column:
-    # Plain integers, by far the most common case, never reach the patterns.
-    return F.coalesce(
-        text.try_cast("int"),
-        F.regexp_extract(text, _WHOLE, 1).try_cast("int"),
-        F.when(text.rlike(_FRACTION_ONLY), F.lit(0)),
+    # A failing try_cast raises and catches inside, per row. The pattern goes first, so that only
+    # numbers too large for an integer get there.
+    return F.when(text.rlike(_WHOLE), F.regexp_extract(text, _WHOLE, 1).try_cast("int")).when(
+        text.rlike(_FRACTION_ONLY), F.lit(0)
     )
 
 

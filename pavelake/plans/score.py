@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pavelake.config import LakeConfig
 from pavelake.operators.regression import score
@@ -68,7 +69,7 @@ def read_predictions(spark: SparkSession, cfg: LakeConfig, fmt: str | None = Non
     if fmt == "csv":
         reader = reader.option("header", True)
     if fmt != "delta":
-        reader = reader.schema(PREDICTIONS.add(BATCH.rstrip("="), "bigint"))
+        reader = reader.schema(StructType([*PREDICTIONS, StructField(BATCH.rstrip("="), LongType())]))
     return reader.load(cfg.table(NAME)).select(*PREDICTIONS.fieldNames())
 
 
