@@ -112,9 +112,12 @@ def regression_metrics(
     y = F.col(label).cast("double")
     miss = y - F.col(prediction)
     n, sum_y, sum_yy, sum_sq, sum_abs = (F.sum(w * x) for x in (F.lit(1.0), y, y * y, miss * miss, F.abs(miss)))
+    spread = sum_yy - sum_y * sum_y / n
+    # With a constant label r2 is 1 for a perfect prediction and 0 for any other.
+    r2 = F.when(spread > 0, 1 - F.try_divide(sum_sq, spread)).when(sum_sq == 0, 1.0).otherwise(0.0)
     return scored.groupBy(*by).agg(
         n.alias("row_weight"),
-        (1 - sum_sq / (sum_yy - sum_y * sum_y / n)).alias("r2"),
+        r2.alias("r2"),
         F.sqrt(sum_sq / n).alias("rmse"),
         (sum_abs / n).alias("mae"),
     )

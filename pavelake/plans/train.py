@@ -64,6 +64,9 @@ def fit_all(fact: DataFrame, models: Mapping[str, Estimator] | None = None) -> T
 def _scores(scored: DataFrame) -> dict[str, float]:
     sides = regression.regression_metrics(scored, by=["is_train"], weight=F.col(WEIGHT))
     by_side = {row["is_train"]: row for row in sides.collect()}
+    missing = {True, False} - by_side.keys()
+    if missing:
+        raise ValueError("training and test rows are both needed; one side of the split is empty")
     train, test = by_side[True], by_side[False]
     return {"train_r2": train["r2"], "test_r2": test["r2"], "test_rmse": test["rmse"], "test_mae": test["mae"]}
 

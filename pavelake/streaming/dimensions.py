@@ -9,25 +9,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pavelake.operators.star import DIMENSIONS
+from pavelake.schemas import DIM_ROAD, DIM_WEATHER, DIM_ZONE
 from pavelake.sources.tables import path_exists
 from pavelake.streaming.sinks import BATCH, Trigger, batch_sink, write_batch
 
 
+BATCH_COLUMN = BATCH.rstrip("=")
+SCHEMAS = {"dim_zone": DIM_ZONE, "dim_road": DIM_ROAD, "dim_weather": DIM_WEATHER}
+
+
+def _stored(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
+    reader = spark.read.format(fmt)
+    if fmt != "delta":
+        reader = reader.schema(StructType([*SCHEMAS[name], StructField(BATCH_COLUMN, LongType())]))
+    return reader.load(path)
+
+
 def add_new_keys(keys: DataFrame, batch_id: int, name: str, path: str, fmt: str = "parquet") -> None:
     """Append the dimension rows of keys not stored by an earlier batch."""
     key, attributes = DIMENSIONS[name]
     spark = keys.sparkSession
     new = keys.select(key).distinct()
     if path_exists(spark, path):
-        known = spark.read.format(fmt).load(path)
+        known = _stored(spark, name, path, fmt)
         if fmt != "delta":
             # A repeated batch must not take its own first attempt for something known.
-            known = known.filter(F.col(BATCH.rstrip("=")) < batch_id)
+            known = known.filter(F.col(BATCH_COLUMN) < batch_id)
         new = new.join(known.select(key), key, "left_anti")
     rows = attributes(new).persist()
     try:
@@ -62,6 +75,5 @@ def dimension_sink(
     return batch_sink(silver.select(*columns), checkpoint, maintain, name=query, trigger=trigger)
 
 
-def read_dimension(spark, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    table = spark.read.format(fmt).load(path)
-    return table.drop(BATCH.rstrip("=")) if fmt != "delta" else table
+def read_dimension(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    return _stored(spark, name, path, fmt).select(*SCHEMAS[name].fieldNames())

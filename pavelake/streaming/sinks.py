@@ -95,3 +95,21 @@ def rewrite_sink(
         drop_versions(batch.sparkSession, path, keep)
 
     return batch_sink(df, checkpoint, replace, name=name, trigger=trigger, output_mode="complete")
+
+
+def message_sink(
+    messages: DataFrame,
+    checkpoint: str,
+    *,
+    fmt: str = "kafka",
+    name: str | None = None,
+    trigger: Trigger = None,
+    options: dict[str, str] | None = None,
+) -> StreamingQuery:
+    """Publish (value, timestamp) messages to a topic, or to a folder given as option ``path``."""
+    if fmt == "kafka":
+        # The broker stamps the time. Wait for all replicas and send again what was not confirmed.
+        messages = messages.select("value")
+        options = {"kafka.acks": "all", "kafka.retries": "3", **(options or {})}
+    writer = _writer(messages, checkpoint, name, trigger).format(fmt).outputMode("append")
+    return writer.options(**(options or {})).start()
