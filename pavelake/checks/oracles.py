@@ -325,5 +325,13 @@ def oracles() -> dict[str, str]:
             "round_even(1e6 * sum(abs(y - p)) / count(*), 0) / 1e6 AS mae FROM ("
             f"SELECT {_BUCKET} < 8 AS is_train, CAST(speed_int AS DOUBLE) AS y, {_GUESS} AS p FROM train) GROUP BY 1",
             "train"),
+        "ml_linear_fit": _sql(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, {c} AS level, count(*) AS row_count, 0.0::DOUBLE AS mean_error "
+                f"FROM train WHERE {_BUCKET} < 8 GROUP BY {c}"
+                for c in ("road_id", "city_zone", "weather", "traffic_band")), "train"),
+        "score_new_rows": _sql(
+            "SELECT vehicle_id, road_id, city_zone, weather, event_ts, traffic_volume_int, congestion_level_int, "
+            f"speed_int, true AS error_fits FROM fact WHERE {_BUCKET.replace('% 10', '% 2')} = 1", "fact"),
         "unscored_rows": _sql(f"SELECT * {_MIDNIGHT} FROM fact WHERE {_BUCKET} >= 8", "fact"),
     }

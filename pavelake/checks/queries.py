@@ -15,14 +15,24 @@ from pyspark.sql import functions as F
 
 from pavelake.config import LakeConfig
 from pavelake.functions.keys import event_bucket, with_record_key
+from pavelake.functions.numeric import round_half_even
 from pavelake.operators import regression, reports
 from pavelake.operators.dedup import dedup_batch, dedup_stream
 from pavelake.operators.features import with_features
 from pavelake.operators.hourly import road_hourly, zone_hourly
-from pavelake.operators.quality import clean_rows, quality_rules, reason_list, rejected_rows, validate, with_types
+from pavelake.operators.quality import (
+    clean_rows,
+    passing_rows,
+    quality_rules,
+    reason_list,
+    rejected_rows,
+    validate,
+    with_clean_verdict,
+    with_types,
+)
 from pavelake.operators.star import dimension, fact_rows
 from pavelake.plans import publish, score, train
-from pavelake.schemas import BRONZE, FACT, FLAGS, SILVER, VALIDATED
+from pavelake.schemas import BRONZE, FACT, SILVER, VALIDATED
 from pavelake.session import shared_folder, use_checkpoints
 from pavelake.sources import bindings
 from pavelake.sources.messages import decode_messages
@@ -158,7 +168,7 @@ def silver_rejected_split(spark, sf_dir):
 
 
 def silver_dedup(spark, sf_dir):
-    return dedup_batch(clean_rows(_bronze(spark, sf_dir, redeliver=True)))
+    return with_clean_verdict(dedup_batch(passing_rows(_bronze(spark, sf_dir, redeliver=True))))
 
 
 def silver_features(spark, sf_dir):
@@ -168,9 +178,9 @@ def silver_features(spark, sf_dir):
 def silver_stream(spark, sf_dir):
     """Which copy of a message arrives first is up to the cluster, so arrival time is left out."""
     root = shared_folder(spark, "silver_stream")
-    clean = clean_rows(_bronze_table(spark, sf_dir, root, redeliver=True))
-    silver = with_features(dedup_stream(clean, slices=LakeConfig(root).copy_slices))
-    return _appended(silver, root, "silver").drop("kafka_timestamp")
+    passing = passing_rows(_bronze_table(spark, sf_dir, root, redeliver=True))
+    unique = dedup_stream(passing, slices=LakeConfig(root).copy_slices)
+    return _appended(with_features(with_clean_verdict(unique)), root, "silver").drop("kafka_timestamp")
 
 
 def late_drop_audit(spark, sf_dir):
@@ -241,7 +251,7 @@ def zone_hourly_final(spark, sf_dir):
 
 def dedup_window_chain(spark, sf_dir):
     root = shared_folder(spark, "dedup_window_chain")
-    unique = dedup_stream(clean_rows(_bronze_table(spark, sf_dir, root, redeliver=True)))
+    unique = dedup_stream(passing_rows(_bronze_table(spark, sf_dir, root, redeliver=True)))
     return _appended(zone_hourly(with_features(unique), watermark=None), root, "zone_hourly")
 
 
@@ -322,6 +332,21 @@ def _model_scores(name: str) -> Query:
     return run
 
 
+def ml_linear_fit(spark, sf_dir):
+    """A fit is a least-squares fit exactly if its training errors cancel out within every category."""
+    fact = _fact(spark, sf_dir)
+    model = _fit(spark, sf_dir, ["Linear Regression"]).best
+    rows = regression.with_split(regression.training_rows(fact)).filter("is_train")
+    levels = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("level")) for c in regression.CATEGORICAL
+    ])).alias("l")
+    errors = model.transform(rows).select(levels, (F.col("speed_int") - F.col("prediction")).alias("error"))
+    mean = F.round(F.avg("error"), 2)
+    return errors.groupBy("l.feature", "l.level").agg(
+        F.count(F.lit(1)).alias("row_count"), F.when(mean == 0, 0.0).otherwise(mean).alias("mean_error")
+    )
+
+
 def ml_leaderboard(spark, sf_dir):
     cfg = LakeConfig(shared_folder(spark, "ml_leaderboard"))
     train.save(spark, cfg, _fit(spark, sf_dir))
@@ -347,7 +372,12 @@ def score_new_rows(spark, sf_dir):
     score.skip_existing(spark, cfg)
     halves[1].write.mode("append").partitionBy("event_date").parquet(cfg.table("fact"))
     run_to_end([lambda: score.start_scoring(spark, cfg, ALL_AVAILABLE)])
-    return score.read_predictions(spark, cfg).drop("prediction_ts")
+    predictions = score.read_predictions(spark, cfg)
+    error = round_half_even(F.col("speed_int") - F.col("predicted_speed"))
+    return predictions.select(
+        "vehicle_id", "road_id", "city_zone", "weather", "event_ts", "traffic_volume_int", "congestion_level_int",
+        "speed_int", (F.col("prediction_error") == error).alias("error_fits"),
+    )
 
 
 def registered() -> dict[str, Query]:
@@ -399,6 +429,7 @@ def registered() -> dict[str, Query]:
         "regression_metrics": regression_metrics,
         "unscored_rows": unscored_rows,
         "ml_linear": _model_scores("Linear Regression"),
+        "ml_linear_fit": ml_linear_fit,
         "ml_decision_tree": _model_scores("Decision Tree"),
         "ml_random_forest": _model_scores("Random Forest"),
         "ml_gbt": _model_scores("Gradient Boosting"),

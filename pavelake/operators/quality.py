@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pavelake.config import QualityLimits
 from pavelake.functions.casting import lenient_int, lenient_timestamp
-from pavelake.schemas import VALIDATED
+from pavelake.schemas import FLAGS, VALIDATED
 
 OK = "OK"
 REJECTED = "REJECTED"
@@ -94,22 +94,37 @@ def reason_list(invalid_reason: Column) -> Column:
     return F.when(invalid_reason == "", F.array().cast("array<string>")).otherwise(F.split(invalid_reason, r"\|"))
 
 
-def clean_rows(
+def passing_rows(
     bronze: DataFrame,
     limits: QualityLimits = QualityLimits(),
     now: Column | datetime | None = None,
 ) -> DataFrame:
-    """Same rows as ``validate`` followed by ``dq_flag = OK``, straight from the raw table.
+    """Typed rows that pass every rule, without flags.
 
-    The filter is the rules themselves, so null, range and set tests reach the Parquet scan. What
-    the flags and the reason of a clean row are is known beforehand.
+    The filter is the rules themselves, so null, range and set tests reach the Parquet scan.
     """
-    rules = quality_rules(limits, now)
-    passing = with_types(bronze).filter(reduce(and_, (r.check for r in rules)))
-    constants = {**{r.flag: F.lit(1) for r in rules}, "invalid_reason": F.lit(""), "dq_flag": F.lit(OK)}
+    return with_types(bronze).filter(reduce(and_, (r.check for r in quality_rules(limits, now))))
+
+
+def with_clean_verdict(passing: DataFrame) -> DataFrame:
+    """Flags, reason and verdict of rows known to be clean. Added after a shuffle, they cost nothing in it."""
+    constants = {**{flag: F.lit(1) for flag in FLAGS}, "invalid_reason": F.lit(""), "dq_flag": F.lit(OK)}
     return passing.withColumns(constants).select(*VALIDATED.fieldNames())
 
 
+def without_verdict(validated: DataFrame) -> DataFrame:
+    return validated.drop(*FLAGS, "invalid_reason", "dq_flag")
+
+
+def clean_rows(
+    bronze: DataFrame,
+    limits: QualityLimits = QualityLimits(),
+    now: Column | datetime | None = None,
+) -> DataFrame:
+    """Same rows as ``validate`` followed by ``dq_flag = OK``, straight from the raw table."""
+    return with_clean_verdict(passing_rows(bronze, limits, now))
+
+
 def rejected_rows(
     bronze: DataFrame,
     limits: QualityLimits = QualityLimits(),

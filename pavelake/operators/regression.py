@@ -30,6 +30,7 @@ TRAIN_BUCKETS = 8
 SEED = 42
 
 WEIGHT = "row_weight"
+FOREST_PIECES = 64
 LABEL = "label"
 
 
@@ -55,6 +56,20 @@ def collapse(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
 
 
+def in_pieces(collapsed: DataFrame, pieces: int = FOREST_PIECES) -> DataFrame:
+    """Share each weight among up to ``pieces`` equal rows, for fits that draw rows at random.
+
+    A bootstrap draws pieces, so a row that stood for very many must not be drawn as one. Up to
+    ``pieces`` equal rows are drawn one by one, as if never collapsed; beyond that they are drawn in
+    bundles. Weights are whole numbers and keep their sum.
+    """
+    n = F.least(F.col(WEIGHT), F.lit(float(pieces)))
+    cut = collapsed.withColumn("piece", F.explode(F.sequence(F.lit(0), n.cast("int") - 1)))
+    share = F.floor(F.col(WEIGHT) / n)
+    extra = F.when(F.col("piece") < F.col(WEIGHT) - share * n, 1).otherwise(0)
+    return cut.withColumn(WEIGHT, (share + extra).cast("double")).drop("piece")
+
+
 def feature_pipeline() -> Pipeline:
     """One-hot blocks, then the numbers. A category not seen in training, or NULL, is an all-zero block."""
     index = [f"{name}_index" for name in CATEGORICAL]
@@ -91,11 +106,6 @@ def regressors(
     }
 
 
-def takes_weights(name: str) -> bool:
-    """Bootstrap draws rows, not weighted groups of rows: the forest must see every row itself."""
-    return name != "Random Forest"
-
-
 def labelled(rows: DataFrame) -> DataFrame:
     return rows.withColumn(LABEL, F.col(TARGET).cast("double"))
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pavelake.config import LakeConfig
 from pavelake.operators.dedup import dedup_stream
 from pavelake.operators.features import with_features
-from pavelake.operators.quality import OK, validate
+from pavelake.operators.quality import OK, validate, with_clean_verdict, without_verdict
 from pavelake.schemas import BRONZE, SILVER, VALIDATED
 from pavelake.sources.tables import stream_table
 from pavelake.streaming.sinks import Trigger, append_sink
@@ -36,10 +36,10 @@ def start_silver(spark: SparkSession, cfg: LakeConfig, trigger: Trigger = None)
     validated = stream_table(
         spark, cfg.table("silver_validated"), VALIDATED, cfg.table_format, cfg.max_files_per_trigger
     )
-    clean = validated.filter(F.col("dq_flag") == OK).select(*VALIDATED.fieldNames())
-    unique = dedup_stream(clean, watermark=cfg.watermark, slices=cfg.copy_slices)
+    passing = without_verdict(validated.filter(F.col("dq_flag") == OK))
+    unique = dedup_stream(passing, watermark=cfg.watermark, slices=cfg.copy_slices)
     return append_sink(
-        with_features(unique).select(*SILVER.fieldNames()),
+        with_features(with_clean_verdict(unique)).select(*SILVER.fieldNames()),
         cfg.table("silver"),
         cfg.checkpoint("silver"),
         name="silver",

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,26 +39,25 @@ class Training:
 def fit_all(fact: DataFrame, models: Mapping[str, Estimator] | None = None) -> Training:
     """Fit each model on the training side and measure it on both.
 
-    Indexing, evaluation and every fit that takes weights work on collapsed rows, whose number is
-    bounded by the feature domains. Only the forest reads all training rows.
+    The fact table is read once, into collapsed rows whose number is bounded by the feature
+    domains. Indexing, fits and evaluation all work on those, with weights.
     """
     models = dict(models or regression.regressors())
-    rows = regression.labelled(regression.with_split(regression.training_rows(fact)))
-    # `labelled` again: collapsing keeps features, target and side only.
-    small = regression.labelled(regression.collapse(rows))
+    small = regression.labelled(regression.collapse(regression.with_split(regression.training_rows(fact))))
+    small = small.persist()
     features = regression.feature_pipeline().fit(small.filter("is_train"))
-    weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT).persist()
+    weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT)
     try:
         fitted, scores = {}, {}
         for name, model in models.items():
-            if regression.takes_weights(name):
-                last = model.copy({model.weightCol: WEIGHT}).fit(weighted.filter("is_train"))
-            else:
-                last = model.fit(features.transform(rows.filter("is_train")).select("features", LABEL))
+            train_side = weighted.filter("is_train")
+            if isinstance(model, RandomForestRegressor):
+                train_side = regression.in_pieces(train_side)
+            last = model.copy({model.weightCol: WEIGHT}).fit(train_side)
             fitted[name] = PipelineModel(stages=[*features.stages, last])
             scores[name] = _scores(last.transform(weighted))
     finally:
-        weighted.unpersist()
+        small.unpersist()
     return Training(fitted, scores, max(scores, key=lambda name: scores[name]["test_r2"]))
 
 

@@ -115,3 +115,13 @@ def test_models_carry_the_published_parameters():
     assert (models["Random Forest"].getNumTrees(), models["Random Forest"].getMaxDepth()) == (200, 12)
     boosted = models["Gradient Boosting"]
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (200, 0.05, 3)
+
+
+def test_pieces_keep_the_weight(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 64.0), ("c", 1000.0)], f"k string, {regression.WEIGHT} double")
+    got = regression.in_pieces(df).groupBy("k").agg(
+        F.count("*").alias("n"), F.sum(regression.WEIGHT).alias("w"), F.min(regression.WEIGHT).alias("lo"),
+        F.max(regression.WEIGHT).alias("hi"))
+    assert {r.k: (r.n, r.w, r.lo, r.hi) for r in got.collect()} == {
+        "a": (1, 1.0, 1.0, 1.0), "b": (64, 64.0, 1.0, 1.0), "c": (64, 1000.0, 15.0, 16.0)
+    }
