@@ -7,6 +7,7 @@ they wrote. Event times leave as TIMESTAMP_NTZ so that other engines read the sa
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -46,6 +47,10 @@ from pavelake.streaming.supervise import run_to_end
 Query = Callable[[SparkSession, str], DataFrame]
 ALL_AVAILABLE = {"availableNow": True}
 
+# The clock of the batch queries. Streams use the real one; the feed has no time between the two.
+NOW = datetime(2030, 1, 1, tzinfo=timezone.utc)
+
+
 GAPPY = ("congestion_level", "traffic_volume", "incident_flag", "congestion_level_int", "traffic_volume_int",
          "incident_flag_int", "speed_int")
 
@@ -77,7 +82,7 @@ def _bronze(spark: SparkSession, sf_dir: str, redeliver: bool = False) -> DataFr
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_features(clean_rows(_bronze(spark, sf_dir)))
+    return with_features(clean_rows(_bronze(spark, sf_dir), now=NOW))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,11 +140,11 @@ def silver_typed(spark, sf_dir):
 
 def dq_flags(spark, sf_dir):
     typed = with_types(_bronze(spark, sf_dir))
-    return typed.withColumns({r.flag: F.when(r.check, 1).otherwise(0) for r in quality_rules()})
+    return typed.withColumns({r.flag: F.when(r.check, 1).otherwise(0) for r in quality_rules(now=NOW)})
 
 
 def dq_reasons(spark, sf_dir):
-    judged = validate(_bronze(spark, sf_dir))
+    judged = validate(_bronze(spark, sf_dir), now=NOW)
     return judged.select(
         "raw_json", "kafka_timestamp", "invalid_reason", "dq_flag",
         F.size(reason_list(F.col("invalid_reason"))).alias("reason_count"),
@@ -147,11 +152,11 @@ def dq_reasons(spark, sf_dir):
 
 
 def silver_clean(spark, sf_dir):
-    return clean_rows(_bronze(spark, sf_dir))
+    return clean_rows(_bronze(spark, sf_dir), now=NOW)
 
 
 def silver_rejected(spark, sf_dir):
-    return rejected_rows(_bronze(spark, sf_dir))
+    return rejected_rows(_bronze(spark, sf_dir), now=NOW)
 
 
 def rejected_stream(spark, sf_dir):
@@ -168,7 +173,7 @@ def silver_rejected_split(spark, sf_dir):
 
 
 def silver_dedup(spark, sf_dir):
-    return with_clean_verdict(dedup_batch(passing_rows(_bronze(spark, sf_dir, redeliver=True))))
+    return with_clean_verdict(dedup_batch(passing_rows(_bronze(spark, sf_dir, redeliver=True), now=NOW)))
 
 
 def silver_features(spark, sf_dir):
@@ -186,7 +191,7 @@ def silver_stream(spark, sf_dir):
 def late_drop_audit(spark, sf_dir):
     """Every seventh microsecond arrives in a second delivery, mostly too late for the watermark."""
     root = shared_folder(spark, "late_drop_audit")
-    clean = clean_rows(_bronze(spark, sf_dir))
+    clean = clean_rows(_bronze(spark, sf_dir), now=NOW)
     second = F.unix_micros("event_ts") % 7 == 0
     passed = f"{root}/passed"
     unique = dedup_stream(stream_table(spark, ensure_folder(spark, passed), VALIDATED))
@@ -415,7 +420,7 @@ def registered() -> dict[str, Query]:
         "road_hourly_stream": _hourly_stream("road_hourly"),
         "zone_hourly_final": zone_hourly_final,
         "dedup_window_chain": dedup_window_chain,
-        "rejected_summary": lambda spark, sf_dir: reports.rejected_summary(rejected_rows(_bronze(spark, sf_dir))),
+        "rejected_summary": lambda spark, sf_dir: reports.rejected_summary(silver_rejected(spark, sf_dir)),
         "profile_tables": profile_tables,
         **{name: _of_fact(report) for name, report in of_fact.items()},
         "top_zone_windows": lambda spark, sf_dir: reports.top_zone_windows(zone_hourly(_silver(spark, sf_dir))),

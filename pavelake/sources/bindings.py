@@ -52,9 +52,9 @@ def _every(n: int) -> Column:
 def payload(events: DataFrame) -> DataFrame:
     """Payload columns next to ``event_id`` and the arrival time ``sent_at``."""
     road = F.col("user_id") % 5
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     ts = F.col("ts").cast("timestamp")
-    return events.select(
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(
         "event_id",
         ts.alias("sent_at"),
         F.concat(F.lit("V"), F.col("user_id")).alias("vehicle_id"),

@@ -16,6 +16,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        # Plans are asserted as text and must not be cut short.
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "500")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
