@@ -330,6 +330,10 @@ def oracles() -> dict[str, str]:
                 f"SELECT '{c}' AS feature, {c} AS level, count(*) AS row_count, 0.0::DOUBLE AS mean_error "
                 f"FROM train WHERE {_BUCKET} < 8 GROUP BY {c}"
                 for c in ("road_id", "city_zone", "weather", "traffic_band")), "train"),
+        "ml_decision_tree_fit": _sql(
+            f"SELECT count(*) AS row_count, 0.0::DOUBLE AS worst_leaf_error FROM train WHERE {_BUCKET} < 8", "train"),
+        "ml_gbt_fit": _sql(
+            f"SELECT count(*) AS row_count, 0.0::DOUBLE AS mean_error FROM train WHERE {_BUCKET} < 8", "train"),
         "score_new_rows": _sql(
             "SELECT vehicle_id, road_id, city_zone, weather, event_ts, traffic_volume_int, congestion_level_int, "
             f"speed_int, true AS error_fits FROM fact WHERE {_BUCKET.replace('% 10', '% 2')} = 1", "fact"),

@@ -339,19 +339,37 @@ def _model_scores(name: str) -> Query:
 
 def ml_linear_fit(spark, sf_dir):
     """A fit is a least-squares fit exactly if its training errors cancel out within every category."""
-    fact = _fact(spark, sf_dir)
-    model = _fit(spark, sf_dir, ["Linear Regression"]).best
-    rows = regression.with_split(regression.training_rows(fact)).filter("is_train")
     levels = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("level")) for c in regression.CATEGORICAL
     ])).alias("l")
-    errors = model.transform(rows).select(levels, (F.col("speed_int") - F.col("prediction")).alias("error"))
+    errors = _training_errors(spark, sf_dir, "Linear Regression").select(levels, "error")
     mean = F.round(F.avg("error"), 2)
     return errors.groupBy("l.feature", "l.level").agg(
         F.count(F.lit(1)).alias("row_count"), F.when(mean == 0, 0.0).otherwise(mean).alias("mean_error")
     )
 
 
+def _training_errors(spark, sf_dir, name: str) -> DataFrame:
+    fact = _fact(spark, sf_dir)
+    rows = regression.with_split(regression.training_rows(fact)).filter("is_train")
+    scored = _fit(spark, sf_dir, [name]).best.transform(rows)
+    return scored.withColumn("error", F.col("speed_int") - F.col("prediction"))
+
+
+def ml_decision_tree_fit(spark, sf_dir):
+    """A leaf predicts the mean of its training rows, so errors cancel out within every leaf."""
+    leaves = _training_errors(spark, sf_dir, "Decision Tree").groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("error").alias("leaf_error")
+    )
+    return leaves.agg(F.sum("n").alias("row_count"), F.round(F.max(F.abs("leaf_error")), 6).alias("worst_leaf_error"))
+
+
+def ml_gbt_fit(spark, sf_dir):
+    """Each round fits what the rounds before it missed, so errors cancel out over the training rows."""
+    errors = _training_errors(spark, sf_dir, "Gradient Boosting")
+    return errors.agg(F.count(F.lit(1)).alias("row_count"), F.round(F.abs(F.avg("error")), 6).alias("mean_error"))
+
+
 def ml_leaderboard(spark, sf_dir):
     cfg = LakeConfig(shared_folder(spark, "ml_leaderboard"))
     train.save(spark, cfg, _fit(spark, sf_dir))
@@ -435,6 +453,8 @@ def registered() -> dict[str, Query]:
         "unscored_rows": unscored_rows,
         "ml_linear": _model_scores("Linear Regression"),
         "ml_linear_fit": ml_linear_fit,
+        "ml_decision_tree_fit": ml_decision_tree_fit,
+        "ml_gbt_fit": ml_gbt_fit,
         "ml_decision_tree": _model_scores("Decision Tree"),
         "ml_random_forest": _model_scores("Random Forest"),
         "ml_gbt": _model_scores("Gradient Boosting"),

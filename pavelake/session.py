@@ -51,13 +51,15 @@ def build_session(
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test on one machine) gets a local temporary folder.
+    Only a local session without that setting (a test on one machine) gets a temporary folder.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
     return tempfile.mkdtemp(prefix=f"{label}-")
 
 

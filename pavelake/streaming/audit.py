@@ -29,5 +29,5 @@ def as_rejected(late: DataFrame) -> DataFrame:
 
 
 def rows_dropped(query: StreamingQuery) -> int:
-    """Rows dropped for lateness so far, as the query's own progress reports count them."""
+    """Rows dropped for lateness, summed over the progress reports the query still holds."""
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)

@@ -165,5 +165,5 @@ def test_append_mode_hourly(spark, cfg):
 
 
 def test_arguments():
-    args = arguments(["bronze", "--root", "/lake", "--option", "subscribe=traffic-topic", "--once"])
-    assert (args.job, args.root, args.option, args.once) == ("bronze", "/lake", ["subscribe=traffic-topic"], True)
+    args = arguments(["bronze", "--root", "/lake", "--option", "subscribe=events", "--once"])
+    assert (args.job, args.root, args.option, args.once) == ("bronze", "/lake", ["subscribe=events"], True)

@@ -207,3 +207,47 @@ def test_hourly_metrics_against_brute_force(spark):
     assert got == {key: tuple(row) for key, row in zip(zones.index, zones.itertuples(index=False))}
     roads = pdf.groupby(["w", "road_id", "weather"]).size()
     assert {(r.window_start, r.road_id, r.weather): r.event_count for r in road_hourly(df).collect()} == dict(roads)
+
+
+def test_stream_is_freed_of_scored_rows_by_a_static_table(spark, lake, feed):
+    from pavelake.operators.regression import unscored
+
+    done = spark.createDataFrame([("b", at(9, 0))], "v string, event_ts timestamp")
+    run(lambda: append_sink(unscored(feed, done, ["v", "event_ts"]), f"{lake}/out", f"{lake}/chk", trigger=ONCE))
+    assert sorted(r.v for r in read_table(spark, f"{lake}/out").collect()) == ["a", "a", "c", "late", "late2", "ok"]
+
+
+@pytest.mark.parametrize("fmt", ["orc", "json"])
+def test_other_table_formats(spark, lake, feed, fmt):
+    run(lambda: append_sink(feed, f"{lake}/out", f"{lake}/chk", fmt=fmt, trigger=ONCE))
+    assert read_table(spark, f"{lake}/out", fmt, feed.schema).count() == 7
+
+
+def test_messages_are_published_and_read_back(spark, lake, feed):
+    from pavelake.config import LakeConfig
+    from pavelake.sources.messages import encode_messages, message_stream
+    from pavelake.streaming.sinks import message_sink
+
+    topic = f"{lake}/topic"
+    run(lambda: message_sink(encode_messages(feed), f"{lake}/chk", fmt="parquet", trigger=ONCE,
+                             options={"path": topic}))
+    cfg = LakeConfig(lake, message_source="parquet", message_options={"path": topic})
+    run(lambda: append_sink(message_stream(spark, cfg), f"{lake}/copy", f"{lake}/chk2", trigger=ONCE))
+    texts = [bytes(r.value).decode() for r in read_table(spark, f"{lake}/copy").collect()]
+    assert len(texts) == 7 and '{"v":"c","event_ts":"2024-01-01T09:01:00.000000+00:00","z":"CBD","sp":60}' in texts
+
+
+def test_scratch_tables_go_where_the_cluster_says():
+    from types import SimpleNamespace
+
+    from pavelake.session import shared_folder
+
+    def session(settings, master):
+        context = SimpleNamespace(getConf=lambda: settings, master=master)
+        return SimpleNamespace(sparkContext=context, conf=settings)
+
+    named = session({"spark.checkpoint.dir": "hdfs:///shared/"}, "yarn")
+    first, second = shared_folder(named, "x"), shared_folder(named, "x")
+    assert first.startswith("hdfs:///shared/x-") and first != second
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session({}, "yarn"), "x")
