@@ -1,10 +1,11 @@
-"""Job entry point: ``spark-submit ... pavelake/__main__.py bronze --root hdfs:///lake`` and so on."""
+"""Job entry point: ``spark-submit lake.py bronze --root hdfs:///lake`` and so on."""
 
 from __future__ import annotations
 
 import argparse
 
 from pavelake.config import LakeConfig
+from pavelake.operators.regression import regressors
 from pavelake.plans import ingest, inspect, publish, refine, score, train
 from pavelake.session import build_session
 
@@ -20,6 +21,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", default="kafka", help="message source: kafka or a file format")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="message source option")
     parser.add_argument("--hourly-mode", choices=["complete", "append"], default="complete")
+    parser.add_argument("--trees", type=int, default=200, help="trees of the random forest")
+    parser.add_argument("--rounds", type=int, default=200, help="rounds of gradient boosting")
     parser.add_argument("--every", help='micro-batch interval, for example "10 seconds"')
     parser.add_argument("--once", action="store_true", help="work off what is there, then end")
     return parser.parse_args(argv)
@@ -44,7 +47,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.job in STREAMS:
             STREAMS[args.job](spark, cfg, trigger)
         elif args.job == "train":
-            train.run(spark, cfg).leaderboard(spark).show(truncate=False)
+            models = regressors(args.trees, args.rounds)
+            train.run(spark, cfg, models).leaderboard(spark).show(truncate=False)
         else:
             reader = inspect.inspect_silver if args.job == "inspect-silver" else inspect.inspect_gold
             inspect.show(reader(spark, cfg))
