@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 U = np.uint64
@@ -14,18 +16,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
+INVERSE = U(pow(int(BASE), -1, 1 << 64))
+
+
+@lru_cache(1)
+def _values() -> np.ndarray:
+    return mix((np.arange(0x110000, dtype=U) + U(1)) * U(0xD1B54A32D192ED03))
+
+
+@lru_cache(2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, 2**bits of them."""
+    return tuple(np.concatenate([np.ones(1, U), np.cumprod(np.full((1 << bits) - 1, x, U))]) for x in (BASE, INVERSE))
+
+
 def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each non-empty slice units[start:end]; slices are in order and do not overlap."""
+    """64-bit hash of each slice units[start:end]: a polynomial told by two prefix sums, then spread."""
     if not len(starts):
         return np.zeros(0, U)
-    length = ends - starts
-    place = np.arange(int(length.sum()), dtype=np.int64)
-    first = np.cumsum(length) - length
-    inner = place - np.repeat(first, length)
-    values = units[inner + np.repeat(starts, length)].astype(U)
-    # each unit is spread together with its place, so that the sum depends on the order
-    values = mix((values + U(1)) * U(0x9E3779B97F4A7C15) + (inner.astype(U) + U(1)) * U(0xD1B54A32D192ED03))
-    return mix(np.add.reduceat(values, first) + length.astype(U))
+    power, inverse = _powers(max(16, int(len(units)).bit_length()))
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(_values()[units] * power[: len(units)])])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U))
 
 
 def is_space(codes: np.ndarray) -> np.ndarray:

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import embeddings, secrets
+from pavelake.llm import bpe, embeddings, secrets
 from pavelake.llm.common import table
 
 
+def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -18,7 +22,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op6_embedding_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op9_secret_scan)}
 
 
 def _secret_sql() -> str:
