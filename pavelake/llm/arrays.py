@@ -72,27 +72,35 @@ def rolled(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def parallel(table: np.ndarray, width: int, symbols: list[np.ndarray], start: int, visit) -> None:
-    """Run one automaton over many symbol sequences side by side.
+def side_by_side(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lay sequences out for stepping through all of them together, longest first.
 
-    table[state * width + symbol] is the next state. The sequences are stepped together, longest first;
-    visit(step, active, entry, rows) sees the table entries just used. It returns the states to go on with.
+    Returns (order, flat, begins): step k reads flat[begins[k]: begins[k + 1]], one symbol of each sequence that is
+    longer than k, in the given order.
     """
-    order = np.argsort([-len(s) for s in symbols], kind="stable")
-    lengths = np.array([len(symbols[i]) for i in order])
-    if not len(lengths) or not lengths[0]:
-        return
-    steps = int(lengths[0])
-    active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # sequences longer than each step
-    flat = np.concatenate([symbols[i] for i in order]).astype(np.int64)
-    # symbols in step order, so that each step reads a contiguous run
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    step = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    begins = np.concatenate([[0], np.cumsum(active)])
-    by_step = np.empty(len(flat), np.int64)
-    by_step[begins[step] + row] = flat
-    state = np.full(len(lengths), start, np.int64)
-    for k in range(steps):
-        n = active[k]
-        used = state[:n] * width + by_step[begins[k]: begins[k] + n]
-        state[:n] = visit(k, n, used, order[:n])
+    lengths = np.array([len(s) for s in symbols], np.int64)
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    steps = int(lengths[0]) if len(lengths) else 0
+    active = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    begins = np.concatenate([[0], np.cumsum(active)]).astype(np.int64)
+    flat = np.empty(int(begins[-1]), np.int64)
+    if steps:
+        joined = np.concatenate([symbols[i] for i in order])
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        step = np.arange(len(joined)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        flat[begins[step] + row] = joined
+    return order, flat, begins
+
+
+def batches_of(sizes: list[int], limit: int) -> list[range]:
+    """Consecutive runs of rows whose sizes sum to about the limit; a larger row is a run of its own."""
+    runs, first, total = [], 0, 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= limit:
+            runs.append(range(first, i + 1))
+            first, total = i + 1, 0
+    if first < len(sizes):
+        runs.append(range(first, len(sizes)))
+    return runs

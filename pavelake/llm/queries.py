@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, embeddings, secrets
-from pavelake.llm.common import table
+from pavelake.llm import bpe, embeddings, langid, secrets
+from pavelake.llm.common import held, table
 
 
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +17,18 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.samples(docs))
+    return found.select("doc_id", held("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "phrase_rate")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan)}
 
 
 def _secret_sql() -> str:
