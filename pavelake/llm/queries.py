@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, embeddings, langid, secrets
+from pavelake.llm import bpe, embeddings, langid, secrets, suffixtree
 from pavelake.llm.common import held, table
 
 
@@ -27,8 +27,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict:
-    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan)}
+    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
