@@ -2,7 +2,7 @@
 
 Documents are dealt into blocks. Each block lists its distinct words once; the lists meet by word bucket, where
 each distinct word is encoded once, and the ids go back to the blocks, which join them to the words by position.
-Text moves once, and what moves for words is a block's vocabulary, not its tokens.
+Text moves once, compressed, and what moves for words is a block's vocabulary, not its tokens.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +23,9 @@ from pavelake.llm.arrays import span_hashes
 from pavelake.llm.common import pieces, text_or_empty
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-BLOCK_BYTES = 32 << 20  # text of one block
+BLOCK_BYTES = 20 << 20  # text of one block
 STRIDE = 1 << 20  # characters that are split at a time
-WORDS_KEPT = 1_000_000  # words a task remembers the ids of before it starts afresh
+WORDS_KEPT = 200_000  # words a task remembers the ids of before it starts afresh
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 
 
@@ -107,6 +108,31 @@ def _strides(texts: list[str], marker: str) -> Iterator[tuple[np.ndarray, np.nda
             rows, parts, at = [], [], 0
 
 
+def _packed(values: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(values if isinstance(values, bytes) else values.tobytes())
+
+
+def _unpacked(value: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(value)
+
+
+def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for the texts of a batch that go to one block, compressed together."""
+    for batch in batches:
+        out = []
+        for block, rows in batch.groupby("block", sort=False):
+            texts = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
+            out.append((block, rows["key"].tolist(), _packed(np.array([len(t) for t in texts], np.int64)), _packed(b"".join(texts))))
+        yield pd.DataFrame(out, columns=["block", "keys", "sizes", "texts"])
+
+
+def _texts(block: pd.DataFrame) -> Iterator[list[str]]:
+    """The texts of each row of a block."""
+    for sizes, texts in zip(block["sizes"], block["texts"]):
+        ends, whole = np.cumsum(np.frombuffer(_unpacked(sizes), np.int64)).tolist(), _unpacked(texts)
+        yield [whole[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends)]
+
+
 def _marker(path: str) -> tuple[str, int]:
     """The special token whose string is an id of its own wherever it stands in a text."""
     added = _tokenizer(path).get_added_tokens_decoder()
@@ -126,7 +152,8 @@ def _distinct(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
 def _list_words(path: str, buckets: int):
     def words(block: pd.DataFrame) -> pd.DataFrame:
         known: dict[int, str] = {}
-        for codes, starts, ends, _, joined in _strides(block["text"].tolist(), _marker(path)[0]):
+        marker = _marker(path)[0]
+        for codes, starts, ends, _, joined in (s for texts in _texts(block) for s in _strides(texts, marker)):
             hashes, at = np.unique(span_hashes(codes, starts, ends), return_index=True)
             for h, a, b in zip(hashes.tolist(), starts[at].tolist(), ends[at].tolist()):
                 if h not in known:
@@ -134,9 +161,11 @@ def _list_words(path: str, buckets: int):
         listed, bucket = _distinct(np.array(list(known), np.uint64), buckets)
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         groups = np.split(listed, cuts) if len(listed) else []
+        lists = [[known[h].encode("utf-8", "surrogatepass") for h in g.tolist()] for g in groups]
         return pd.DataFrame({
             "block": block["block"].iloc[0], "bucket": [int(g[0] % np.uint64(buckets)) for g in groups],
-            "words": [[known[h] for h in g.tolist()] for g in groups]})
+            "sizes": [_packed(np.array([len(w) for w in words], np.int32)) for words in lists],
+            "words": [_packed(b"".join(words)) for words in lists]})
 
     return words
 
@@ -146,15 +175,18 @@ def _encode_words(path: str):
         made, known = _tokenizer(path), {}
         for batch in batches:
             sizes, ids = [], []
-            for words in batch["words"]:
+            for lengths, joined in zip(batch["sizes"], batch["words"]):
+                ends, joined = np.cumsum(np.frombuffer(_unpacked(lengths), np.int32)).tolist(), _unpacked(joined)
+                words = [joined[a:b] for a, b in zip([0, *ends], ends)]
                 if len(known) > WORDS_KEPT:
                     known = {}
                 new = [w for w in words if w not in known]
-                for w, e in zip(new, made.encode_batch_fast(new, add_special_tokens=False)):
-                    known[w] = e.ids
+                fresh = made.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
+                for w, e in zip(new, fresh):
+                    known[w] = np.array(e.ids, np.int32).tobytes()
                 found = [known[w] for w in words]
-                sizes.append(np.fromiter(map(len, found), np.int32, len(found)).tobytes())
-                ids.append(np.fromiter((i for x in found for i in x), np.int32).tobytes())
+                sizes.append(_packed(np.array([len(x) // 4 for x in found], np.int32)))
+                ids.append(_packed(b"".join(found)))
             yield pd.DataFrame({"block": batch["block"], "bucket": batch["bucket"], "sizes": sizes, "ids": ids})
 
     return encode
@@ -187,23 +219,25 @@ def _joined(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
 def _place_ids(path: str, buckets: int):
     def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
         marker, marker_id = _marker(path)
-        texts = block["text"].tolist()
         encoded = encoded.sort_values("bucket")
-        sizes = np.frombuffer(b"".join(encoded["sizes"]), np.int32).astype(np.int64)
-        ids = np.frombuffer(b"".join(encoded["ids"]), np.int32)
+        sizes = np.frombuffer(b"".join(map(_unpacked, encoded["sizes"])), np.int32).astype(np.int64)
+        ids = np.frombuffer(b"".join(map(_unpacked, encoded["ids"])), np.int32)
         begins = np.cumsum(sizes) - sizes
-        strides, found, strange = [], [], set()
-        for codes, starts, ends, rows, _ in _strides(texts, marker):
-            hashes = span_hashes(codes, starts, ends)
-            strides.append((starts, hashes, rows, len(codes)))
-            found.append(np.unique(hashes))
-            unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
-            strange.update(rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist())
+        texts, strides, found, strange = [], [], [], set()
+        for part in _texts(block):
+            for codes, starts, ends, rows, _ in _strides(part, marker):
+                hashes = span_hashes(codes, starts, ends)
+                rows = [(len(texts) + row, a, b) for row, a, b in rows]
+                strides.append((starts.astype(np.int32), hashes, rows))
+                found.append(np.unique(hashes))
+                unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
+                strange.update(rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist())
+            texts += part
         listed, _ = _distinct(np.concatenate(found) if found else np.zeros(0, np.uint64), buckets)
         order = np.argsort(listed)
         listed = listed[order]
         out: list[list[np.ndarray]] = [[] for _ in texts]
-        for starts, hashes, rows, _ in strides:
+        for starts, hashes, rows in strides:
             word = order[np.searchsorted(listed, hashes)] if len(listed) else np.zeros(0, np.int64)
             size = sizes[word]
             flat = _gather(ids, begins[word], size)
@@ -220,7 +254,7 @@ def _place_ids(path: str, buckets: int):
             if number in strange or _joined(row, table) != text.encode("utf-8", "surrogatepass"):
                 row = np.array(made.encode(text, add_special_tokens=False).ids, np.int32)
             done.append(row)
-        return pd.DataFrame({"key": block["key"], "ids": done})
+        return pd.DataFrame({"key": [k for keys in block["keys"] for k in keys], "ids": done})
 
     return place
 
@@ -236,7 +270,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     blocks = pieces(rows, "text", BLOCK_BYTES)
     buckets = max(16, min(1024, blocks))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).cast("int"))
-    words = dealt.groupBy("block").applyInPandas(_list_words(path, buckets), "block int, bucket int, words array<string>")
+    dealt = dealt.mapInPandas(_pack_texts, f"block int, keys array<{kind}>, sizes binary, texts binary")
+    words = dealt.groupBy("block").applyInPandas(_list_words(path, buckets), "block int, bucket int, sizes binary, words binary")
     encoded = words.repartition("bucket").mapInPandas(_encode_words(path), "block int, bucket int, sizes binary, ids binary")
     placed = dealt.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
         _place_ids(path, buckets), f"key {kind}, ids array<int>")

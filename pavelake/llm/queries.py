@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, embeddings, langid, secrets, suffixtree
+from pavelake.llm import bpe, dartminhash, embeddings, langid, secrets, suffixtree
 from pavelake.llm.common import held, table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
@@ -32,7 +36,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
