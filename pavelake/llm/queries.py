@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, dartminhash, embeddings, langid, secrets, suffixtree
+from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, secrets, suffixtree
 from pavelake.llm.common import held, table
 
 
@@ -17,6 +17,10 @@ def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -36,7 +40,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op5_decontamination, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
@@ -85,5 +89,24 @@ EMBEDDING_SQL = f"""
     FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
 
 
+def _words_sql(source: str, key: str) -> str:
+    return (f"SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS w "
+            f"FROM {source}")
+
+
+def _runs_sql(source: str, key: str) -> str:
+    return (f"SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) "
+            f"WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS r FROM {source}")
+
+
+DECONTAMINATION_SQL = f"""
+    WITH dw AS ({_words_sql('documents', 'doc_id')}), bw AS ({_words_sql('benchmark', 'item_id')}),
+    d AS ({_runs_sql('dw', 'doc_id')}), b AS ({_runs_sql('bw', 'item_id')}),
+    n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+    j AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN b USING (r) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM j JOIN n USING (item_id)
+    WHERE n_shared / n_item >= {decontam.CONTAINED}"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_embedding_dedup": EMBEDDING_SQL, "op9_secret_scan": _secret_sql()}
+    return {"op5_decontamination": DECONTAMINATION_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op9_secret_scan": _secret_sql()}
