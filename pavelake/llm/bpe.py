@@ -23,8 +23,8 @@ from pavelake.llm.arrays import span_hashes
 from pavelake.llm.common import pieces, text_or_empty
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-BLOCK_BYTES = 20 << 20  # text of one block
-STRIDE = 1 << 20  # characters that are split at a time
+BLOCK_BYTES = 16 << 20  # text of one block
+STRIDE = 1 << 18  # characters that are split at a time
 WORDS_KEPT = 200_000  # words a task remembers the ids of before it starts afresh
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 
@@ -216,7 +216,7 @@ def _joined(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
     return _gather(values, begins[ids], begins[ids + 1] - begins[ids]).tobytes()
 
 
-def _place_ids(path: str, buckets: int):
+def _place_ids(path: str, buckets: int, decoded: bool = False):
     def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
         marker, marker_id = _marker(path)
         encoded = encoded.sort_values("bucket")
@@ -247,21 +247,26 @@ def _place_ids(path: str, buckets: int):
                 if out[row]:
                     out[row].append(np.array([marker_id], ids.dtype))
                 out[row].append(flat[passed[i]: passed[j]])
-        table, made, done = pieces_of(path), _tokenizer(path), []
-        for number, (text, parts) in enumerate(zip(texts, out)):
-            row = np.concatenate(parts)
+        table, made = pieces_of(path), _tokenizer(path)
+        for number, text in enumerate(texts):
+            row = np.concatenate(out[number])
+            whole = _joined(row, table)
             # the tokenizer takes texts with unknown characters, and any that a clash of word hashes would spoil
-            if number in strange or _joined(row, table) != text.encode("utf-8", "surrogatepass"):
+            if number in strange or whole != text.encode("utf-8", "surrogatepass"):
                 row = np.array(made.encode(text, add_special_tokens=False).ids, np.int32)
-            done.append(row)
-        return pd.DataFrame({"key": [k for keys in block["keys"] for k in keys], "ids": done})
+                whole = _joined(row, table)
+            out[number] = row
+            texts[number] = whole.decode("utf-8", "replace") if decoded else None
+        return pd.DataFrame({"key": [k for keys in block["keys"] for k in keys], "ids": out, "decoded": texts})
 
     return place
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, decoded: bool = False) -> DataFrame:
     """(key, ids) for every row: the ids that the tokenizer gives without special tokens around the text.
 
+    With decoded, the text that the ids decode to is a further column; the round trip then needs no second pass.
+
     A null or empty text has no ids. The string of the added token is that token, as the tokenizer reads it.
     Equal and null keys stay separate rows. Other columns are not looked at.
     """
@@ -274,8 +279,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     words = dealt.groupBy("block").applyInPandas(_list_words(path, buckets), "block int, bucket int, sizes binary, words binary")
     encoded = words.repartition("bucket").mapInPandas(_encode_words(path), "block int, bucket int, sizes binary, ids binary")
     placed = dealt.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
-        _place_ids(path, buckets), f"key {kind}, ids array<int>")
-    return placed.select(F.col("key").alias(key), "ids")
+        _place_ids(path, buckets, decoded), f"key {kind}, ids array<int>, decoded string")
+    return placed.select(F.col("key").alias(key), "ids", *["decoded"] * decoded)
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str = VOCABULARY) -> DataFrame:
@@ -296,22 +301,9 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str
         join, f"key {kind}, text string").select(F.col("key").alias(key), "text")
 
 
-def with_decoded(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """The encoded rows with the text that their ids decode to, row by row."""
-
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = pieces_of(path)
-        for batch in batches:
-            batch["decoded"] = [_joined(np.asarray(x, np.int64), table).decode("utf-8", "replace") for x in batch["ids"]]
-            yield batch
-
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInPandas(join, f"{columns}, decoded string")
-
-
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:
     """Counts and digests of ids and decoded texts."""
-    return with_decoded(encode(docs, key, text, path), path).select(
+    return encode(docs, key, text, path, decoded=True).select(
         key, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

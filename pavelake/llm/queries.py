@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, secrets, suffixtree
+from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, secrets, suffixtree, toxicity
 from pavelake.llm.common import held, table
 
 
@@ -17,6 +17,12 @@ def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +46,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op5_decontamination, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
