@@ -23,7 +23,7 @@ from pavelake.llm.arrays import span_hashes
 from pavelake.llm.common import pieces, text_or_empty
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-BLOCK_BYTES = 16 << 20  # text of one block
+BLOCK_BYTES = 16 << 20  # text of one block; a task holds a few times as much
 STRIDE = 1 << 18  # characters that are split at a time
 WORDS_KEPT = 200_000  # words a task remembers the ids of before it starts afresh
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
