@@ -32,11 +32,14 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each slice units[start:end]: a polynomial told by two prefix sums, then spread."""
+    """64-bit hash of each slice units[start:end]: a polynomial told by two prefix sums, then spread.
+
+    Units are code points or bytes, or hashes of 64 bits, which are taken as they are.
+    """
     if not len(starts):
         return np.zeros(0, U)
     power, inverse = _powers(max(16, int(len(units)).bit_length()))
-    sums = np.concatenate([np.zeros(1, U), np.cumsum(_values()[units] * power[: len(units)])])
+    sums = np.concatenate([np.zeros(1, U), np.cumsum((units if units.dtype == U else _values()[units]) * power[: len(units)])])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(U))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, secrets, suffixtree, toxicity
+from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, passages, secrets, suffixtree, toxicity
 from pavelake.llm.common import held, table
 
 
@@ -37,6 +37,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "phrase_rate")
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digest(passages.repeated(table(spark, sf_dir, "documents")))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
@@ -46,7 +50,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op8_repeated_passages, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
