@@ -301,9 +301,9 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str
         join, f"key {kind}, text string").select(F.col("key").alias(key), "text")
 
 
-def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY) -> DataFrame:
-    """Counts and digests of ids and decoded texts."""
+def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, ids: bool = False) -> DataFrame:
+    """Counts and digests of ids and decoded texts, with the ids if they are wanted."""
     return encode(docs, key, text, path, decoded=True).select(
         key, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * ids)

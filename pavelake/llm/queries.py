@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, passages, secrets, suffixtree, toxicity
+from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, licenses, passages, secrets, suffixtree, toxicity
 from pavelake.llm.common import held, table
 
 
@@ -13,6 +13,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op8_repeated_passages, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in (op1_minhash_dedup, op2_license_scan, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op8_repeated_passages, op9_secret_scan, op10_lm_scores)}
 
 
 def _secret_sql() -> str:
@@ -118,5 +122,28 @@ DECONTAMINATION_SQL = f"""
     WHERE n_shared / n_item >= {decontam.CONTAINED}"""
 
 
+def _license_sql() -> str:
+    rows = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES))
+    words = "list_filter(string_split_regex(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+    grams = ("CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) "
+             "ELSE w END")
+    ratio = licenses.DICE / (2 - licenses.DICE)
+    return f"""
+    WITH t AS (SELECT * FROM (VALUES {rows}) AS x(template, license_id, text)),
+    tw AS (SELECT template, license_id, {words.format('text')} AS w FROM t),
+    tg AS (SELECT template, license_id, {grams} AS g FROM tw),
+    l AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+    b AS (SELECT doc_id, text, string_split_regex(text, '\\n[\\x20\\x09\\x0D]*\\n') AS p FROM documents WHERE text IS NOT NULL),
+    u AS (SELECT doc_id, 'line' AS unit, unnest(p) AS part, generate_subscripts(p, 1) - 1 AS place FROM l
+          UNION ALL SELECT doc_id, 'block', unnest(p), generate_subscripts(p, 1) - 1 FROM b),
+    uw AS (SELECT doc_id, unit, place, {words.format('part')} AS w FROM u WHERE unit = 'line' OR contains(trim(part), chr(10))),
+    ug AS (SELECT doc_id, unit, place, {grams} AS g FROM uw),
+    s AS (SELECT doc_id, unit, place, license_id, 2 * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS dice
+          FROM ug JOIN tg ON len(ug.g) BETWEEN len(tg.g) * {ratio} - 1e-9 AND len(tg.g) / {ratio} + 1e-9)
+    SELECT doc_id, unit, place::INTEGER AS place, min(license_id) AS license_id, dice FROM s
+    WHERE dice >= {licenses.DICE} AND dice = (SELECT max(dice) FROM s z WHERE z.doc_id = s.doc_id AND z.unit = s.unit AND z.place = s.place)
+    GROUP BY doc_id, unit, place, dice"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op5_decontamination": DECONTAMINATION_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op9_secret_scan": _secret_sql()}
+    return {"op2_license_scan": _license_sql(), "op5_decontamination": DECONTAMINATION_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op9_secret_scan": _secret_sql()}
