@@ -139,9 +139,9 @@ def _license_sql() -> str:
     uw AS (SELECT doc_id, unit, place, {words.format('part')} AS w FROM u WHERE unit = 'line' OR contains(trim(part), chr(10))),
     ug AS (SELECT doc_id, unit, place, {grams} AS g FROM uw),
     s AS (SELECT doc_id, unit, place, license_id, 2 * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS dice
-          FROM ug JOIN tg ON len(ug.g) BETWEEN len(tg.g) * {ratio} - 1e-9 AND len(tg.g) / {ratio} + 1e-9)
-    SELECT doc_id, unit, place::INTEGER AS place, min(license_id) AS license_id, dice FROM s
-    WHERE dice >= {licenses.DICE} AND dice = (SELECT max(dice) FROM s z WHERE z.doc_id = s.doc_id AND z.unit = s.unit AND z.place = s.place)
+          FROM ug JOIN tg ON len(ug.g) BETWEEN len(tg.g) * {ratio} - 1e-9 AND len(tg.g) / {ratio} + 1e-9),
+    r AS (SELECT *, rank() OVER (PARTITION BY doc_id, unit, place ORDER BY dice DESC) AS n FROM s WHERE dice >= {licenses.DICE})
+    SELECT doc_id, unit, place::INTEGER AS place, min(license_id) AS license_id, dice FROM r WHERE n = 1
     GROUP BY doc_id, unit, place, dice"""
 
 
