@@ -66,16 +66,18 @@ def scan(docs: DataFrame, licences: DataFrame | None = None, key: str = "doc_id"
     """
     spark = docs.sparkSession
     known = (templates(spark) if licences is None else licences).where("license_id IS NOT NULL AND text IS NOT NULL")
-    known = known.select("license_id", _words(F.col("text")).alias("words")).select("license_id", _bigrams("words").alias("grams"))
+    known = known.select("license_id", F.explode(F.array(_words(F.col("text")))).alias("words")).select(
+        "license_id", _bigrams("words").alias("grams"))
     known = known.where(F.size("grams") > 0).distinct().withColumn("template", F.monotonically_increasing_id())
     known = kept(known.select("template", "license_id", F.size("grams").alias("of"), F.explode("grams").alias("gram")))
     sizes = known.agg(F.min("of").alias("low"), F.max("of").alias("high"), F.count("*").alias("n")).first()
     ratio = least / (2 - least)
     low, high = (sizes["low"] or 1) * ratio, (sizes["high"] or 0) / ratio
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), text_or_empty(text).alias("text"))
-    units = _units(rows).withColumn("words", _words(F.col("part")))
+    # words and bigrams leave through generators: else they would be made anew for each use, even for each bigram
+    units = _units(rows).select("row", "key", "unit", "place", F.explode(F.array(_words(F.col("part")))).alias("words"))
     # distinct bigrams are fewer than words, so only a lower bound can be told before they are made
-    taken = units.where(F.size("words") >= low).withColumn("grams", _bigrams("words"))
+    taken = units.where(F.size("words") >= low).select("row", "key", "unit", "place", F.explode(F.array(_bigrams("words"))).alias("grams"))
     taken = taken.withColumn("size", F.size("grams")).where(F.col("size").between(low - 1e-9, high + 1e-9))
     each = taken.select("row", "key", "unit", "place", "size", F.explode("grams").alias("gram"))
     hits = each.join(small(known, sizes["n"]), "gram").where(
