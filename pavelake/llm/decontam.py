@@ -64,9 +64,11 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     is never a candidate.
     """
     source = docs.select(F.col(key).alias("doc"), text_or_empty(text).alias("text")).where("doc IS NOT NULL")
-    listed = items.select(F.col(item_key).alias("item"), words(text_or_empty(item_text)).alias("words")).where("item IS NOT NULL")
+    # words leave through a generator: else they would be made anew for every run that is built from them
+    listed = items.where(F.col(item_key).isNotNull()).select(
+        F.col(item_key).alias("item"), F.explode(F.array(words(text_or_empty(item_text)))).alias("words"))
     sketch = kept(_sketches(listed))
-    probes = source.select("doc", words(F.col("text")).alias("words"))
+    probes = source.select("doc", F.explode(F.array(words(F.col("text")))).alias("words"))
     probes = probes.select("doc", F.size("words").alias("length"), F.explode(run_hashes("words")).alias("hash"))
     hits = probes.join(small(sketch, sketch.count()), "hash").where(
         F.greatest(F.col("length") - (WORDS - 1), F.lit(1)) >= F.ceil(F.col("size") * CONTAINED - 1e-9))
@@ -75,7 +77,7 @@ def contained(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     counted = found.groupBy("doc", "item", "size", "kept").agg(F.count("*").alias("n"))
     candidates = kept(counted.where(F.col("n") >= _least("size", "kept")).select("doc", "item"))
     wanted = small(candidates.select("doc").distinct(), candidates.count())
-    texts = source.join(wanted, "doc", "left_semi").select("doc", words(F.col("text")).alias("words"))
+    texts = source.join(wanted, "doc", "left_semi").select("doc", F.explode(F.array(words(F.col("text")))).alias("words"))
     runs = F.array_distinct(run_texts("words"))
     both = candidates.join(texts.select("doc", runs.alias("doc_runs")), "doc").join(
         listed.select("item", runs.alias("item_runs")), "item")
