@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import argparse
 
-from pavelake.config import LakeConfig
+from pavelake.config import WATERMARK, WINDOW, LakeConfig
 from pavelake.operators.regression import regressors
 from pavelake.plans import ingest, inspect, publish, refine, score, train
 from pavelake.session import build_session
+from pavelake.streaming.audit import LateRows
 
 STREAMS = {"bronze": ingest.run, "silver": refine.run, "gold": publish.run, "score": score.run}
 
@@ -21,6 +22,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", default="kafka", help="message source: kafka or a file format")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="message source option")
     parser.add_argument("--hourly-mode", choices=["complete", "append"], default="complete")
+    parser.add_argument("--watermark", default=WATERMARK, help="how late an event may be")
+    parser.add_argument("--window", default=WINDOW, help="length of a window of the hourly metrics")
+    parser.add_argument("--copy-slices", type=int, help="slices of stateful dedup; default: as many as shuffle partitions, 0: none")
+    parser.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of one micro-batch; 0: no limit")
+    parser.add_argument("--keep-versions-seconds", type=int, default=3600, help="how long replaced table versions stay")
+    parser.add_argument("--hive", action="store_true", help="with Hive support")
+    parser.add_argument("--rows", type=int, default=100, help="rows that inspection shows of a table")
     parser.add_argument("--trees", type=int, default=200, help="trees of the random forest")
     parser.add_argument("--rounds", type=int, default=200, help="rounds of gradient boosting")
     parser.add_argument("--every", help='micro-batch interval, for example "10 seconds"')
@@ -34,6 +42,11 @@ def main(argv: list[str] | None = None) -> None:
         args.root,
         table_format=args.format,
         hourly_mode=args.hourly_mode,
+        watermark=args.watermark,
+        window=args.window,
+        copy_slices=args.copy_slices,
+        max_files_per_trigger=args.max_files_per_trigger or None,
+        keep_versions_seconds=args.keep_versions_seconds,
         message_source=args.source,
         message_options=dict(option.split("=", 1) for option in args.option),
     )
@@ -42,16 +55,17 @@ def main(argv: list[str] | None = None) -> None:
         trigger = {"availableNow": True}
     elif args.every:
         trigger = {"processingTime": args.every}
-    spark = build_session(f"pavelake-{args.job}", args.master, delta=args.format == "delta")
+    spark = build_session(f"pavelake-{args.job}", args.master, delta=args.format == "delta", hive=args.hive)
     try:
         if args.job in STREAMS:
+            spark.streams.addListener(LateRows(spark, cfg.table("late_rows"), cfg.table_format))
             STREAMS[args.job](spark, cfg, trigger)
         elif args.job == "train":
             models = regressors(args.trees, args.rounds)
             train.run(spark, cfg, models).leaderboard(spark).show(truncate=False)
         else:
             reader = inspect.inspect_silver if args.job == "inspect-silver" else inspect.inspect_gold
-            inspect.show(reader(spark, cfg))
+            inspect.show(reader(spark, cfg), args.rows)
     finally:
         spark.stop()
 

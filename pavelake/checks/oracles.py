@@ -211,6 +211,24 @@ _TYPED_GAPS = _RAW_GAPS[:-1] + "".join(
 _MIDNIGHT = "REPLACE (CAST(event_date AS TIMESTAMP) AS event_date)"
 
 
+_NUMERIC = ("hour", "peak_flag", "traffic_volume_int", "congestion_level_int", "incident_flag_int")
+
+
+def _one_split(*also: str) -> str:
+    """Least squared error of any single split of a number over the training rows, which every model must beat."""
+    rows = f"(SELECT * FROM train WHERE {_BUCKET} < 8)"
+    values = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS x, speed_int::DOUBLE AS y FROM {rows}" for c in _NUMERIC)
+    columns = "".join(f", {c}" for c in also)
+    return (
+        f"SELECT all_n AS row_count, round(min(all_ss - s * s / n - CASE WHEN all_n > n THEN (all_s - s) * (all_s - s) / (all_n - n) "
+        f"ELSE 0 END), 3) AS one_split_sse, true AS beats_one_split{columns} FROM ("
+        "SELECT feature, sum(n) OVER w AS n, sum(s) OVER w AS s FROM ("
+        f"SELECT feature, x, count(*) AS n, sum(y) AS s FROM ({values}) GROUP BY feature, x) "
+        "WINDOW w AS (PARTITION BY feature ORDER BY x)), "
+        f"(SELECT count(*) AS all_n, sum(speed_int::DOUBLE) AS all_s, sum(speed_int::DOUBLE * speed_int) AS all_ss FROM {rows}) "
+        "GROUP BY all_n")
+
+
 def oracles() -> dict[str, str]:
     profile = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, CAST(cid AS INTEGER) AS position, column_name, n AS row_count "
@@ -327,13 +345,13 @@ def oracles() -> dict[str, str]:
             "train"),
         "ml_linear_fit": _sql(
             " UNION ALL ".join(
-                f"SELECT '{c}' AS feature, {c} AS level, count(*) AS row_count, 0.0::DOUBLE AS mean_error "
-                f"FROM train WHERE {_BUCKET} < 8 GROUP BY {c}"
-                for c in ("road_id", "city_zone", "weather", "traffic_band")), "train"),
-        "ml_decision_tree_fit": _sql(
-            f"SELECT count(*) AS row_count, 0.0::DOUBLE AS worst_leaf_error FROM train WHERE {_BUCKET} < 8", "train"),
-        "ml_gbt_fit": _sql(
-            f"SELECT count(*) AS row_count, 0.0::DOUBLE AS mean_error FROM train WHERE {_BUCKET} < 8", "train"),
+                [f"SELECT '{c}' AS feature, {c} AS level, count(*) AS row_count, 0.0::DOUBLE AS mean_error "
+                 f"FROM train WHERE {_BUCKET} < 8 GROUP BY {c}"
+                 for c in ("road_id", "city_zone", "weather", "traffic_band")]
+                + [f"SELECT '{c}', 'number', count(*), 0.0::DOUBLE FROM train WHERE {_BUCKET} < 8" for c in _NUMERIC]), "train"),
+        "ml_decision_tree_fit": _sql(_one_split("0.0::DOUBLE AS worst_leaf_error"), "train"),
+        "ml_random_forest_fit": _sql(_one_split(), "train"),
+        "ml_gbt_fit": _sql(_one_split("0.0::DOUBLE AS mean_error"), "train"),
         "score_new_rows": _sql(
             "SELECT vehicle_id, road_id, city_zone, weather, event_ts, traffic_volume_int, congestion_level_int, "
             f"speed_int, true AS error_fits FROM fact WHERE {_BUCKET.replace('% 10', '% 2')} = 1", "fact"),

@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pavelake.config import LakeConfig
 from pavelake.functions.keys import event_bucket, with_record_key
 from pavelake.functions.numeric import round_half_even
 from pavelake.operators import regression, reports
-from pavelake.operators.dedup import dedup_batch, dedup_stream
+from pavelake.operators.dedup import copy_slices, dedup_batch, dedup_stream
 from pavelake.operators.features import with_features
 from pavelake.operators.hourly import road_hourly, zone_hourly
 from pavelake.operators.quality import (
@@ -54,9 +53,8 @@ NOW = datetime(2030, 1, 1, tzinfo=timezone.utc)
 GAPPY = ("congestion_level", "traffic_volume", "incident_flag", "congestion_level_int", "traffic_volume_int",
          "incident_flag_int", "speed_int")
 
-# Small ensembles: the check is that fits run and score, not how good they get.
-FOREST_TREES = 5
-BOOSTING_ROUNDS = 5
+# Fits of a session by data folder and model, so that each model is fitted once for all queries that look at it.
+_FITS: dict[tuple[str, str, str], train.Training] = {}
 
 
 def _wall_clock(df: DataFrame) -> DataFrame:
@@ -184,7 +182,7 @@ def silver_stream(spark, sf_dir):
     """Which copy of a message arrives first is up to the cluster, so arrival time is left out."""
     root = shared_folder(spark, "silver_stream")
     passing = passing_rows(_bronze_table(spark, sf_dir, root, redeliver=True))
-    unique = dedup_stream(passing, slices=LakeConfig(root).copy_slices)
+    unique = dedup_stream(passing, slices=copy_slices(spark))
     return _appended(with_features(with_clean_verdict(unique)), root, "silver").drop("kafka_timestamp")
 
 
@@ -194,7 +192,7 @@ def late_drop_audit(spark, sf_dir):
     clean = clean_rows(_bronze(spark, sf_dir), now=NOW)
     second = F.unix_micros("event_ts") % 7 == 0
     passed = f"{root}/passed"
-    unique = dedup_stream(stream_table(spark, ensure_folder(spark, passed), VALIDATED))
+    unique = dedup_stream(stream_table(spark, ensure_folder(spark, passed), VALIDATED), slices=copy_slices(spark))
     for part in (clean.filter(~second), clean.filter(second)):
         part.write.mode("append").parquet(passed)
         silver = _appended(unique, root, "silver")
@@ -256,7 +254,7 @@ def zone_hourly_final(spark, sf_dir):
 
 def dedup_window_chain(spark, sf_dir):
     root = shared_folder(spark, "dedup_window_chain")
-    unique = dedup_stream(passing_rows(_bronze_table(spark, sf_dir, root, redeliver=True)))
+    unique = dedup_stream(passing_rows(_bronze_table(spark, sf_dir, root, redeliver=True)), slices=copy_slices(spark))
     return _appended(zone_hourly(with_features(unique), watermark=None), root, "zone_hourly")
 
 
@@ -323,10 +321,15 @@ def ml_split(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, only: list[str] | None = None) -> train.Training:
+    """The contenders at their full size, or some of them."""
     use_checkpoints(spark)
-    models = regression.regressors(FOREST_TREES, BOOSTING_ROUNDS)
-    chosen = {name: model for name, model in models.items() if only is None or name in only}
-    return train.fit_all(_fact(spark, sf_dir), chosen)
+    models, parts = regression.regressors(), []
+    for name in only or models:
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _FITS:
+            _FITS[key] = train.fit_all(_fact(spark, sf_dir), {name: models[name]})
+        parts.append(_FITS[key])
+    return train.together(parts)
 
 
 def _model_scores(name: str) -> Query:
@@ -338,12 +341,14 @@ def _model_scores(name: str) -> Query:
 
 
 def ml_linear_fit(spark, sf_dir):
-    """A fit is a least-squares fit exactly if its training errors cancel out within every category."""
-    levels = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("level")) for c in regression.CATEGORICAL
-    ])).alias("l")
-    errors = _training_errors(spark, sf_dir, "Linear Regression").select(levels, "error")
-    mean = F.round(F.avg("error"), 2)
+    """A fit is a least-squares fit exactly if its training errors cancel out within every category and are
+    uncorrelated with every number."""
+    named = lambda c, level, x: F.struct(F.lit(c).alias("feature"), level.alias("level"), x.cast("double").alias("x"))
+    terms = F.explode(F.array(
+        *[named(c, F.col(c), F.lit(1.0)) for c in regression.CATEGORICAL],
+        *[named(c, F.lit("number"), F.col(c)) for c in regression.NUMERIC])).alias("l")
+    errors = _training_errors(spark, sf_dir, "Linear Regression").select(terms, "error")
+    mean = F.round(F.sum(F.col("error") * F.col("l.x")) / F.greatest(F.sum(F.abs("l.x")), F.lit(1.0)), 4)
     return errors.groupBy("l.feature", "l.level").agg(
         F.count(F.lit(1)).alias("row_count"), F.when(mean == 0, 0.0).otherwise(mean).alias("mean_error")
     )
@@ -356,30 +361,57 @@ def _training_errors(spark, sf_dir, name: str) -> DataFrame:
     return scored.withColumn("error", F.col("speed_int") - F.col("prediction"))
 
 
+def _beats_one_split(errors: DataFrame) -> DataFrame:
+    """Squared training error of a model beside the least that any single split of a number can reach.
+
+    A model that learned nothing is at or above the error of the mean, which is no less than that of the best split.
+    """
+    values = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in regression.NUMERIC
+    ])).alias("v")
+    y = F.col("speed_int").cast("double")
+    sums = errors.select(values, y.alias("y")).groupBy("v.feature", "v.x").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
+    up_to = Window.partitionBy("feature").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = sums.select("feature", F.sum("n").over(up_to).alias("n"), F.sum("s").over(up_to).alias("s"))
+    whole = errors.agg(F.count(F.lit(1)).alias("row_count"), F.sum(y).alias("all_s"), F.sum(y * y).alias("all_ss"),
+                       F.sum(F.col("error") * F.col("error")).alias("model_sse"))
+    rest, rest_s = F.col("row_count") - F.col("n"), F.col("all_s") - F.col("s")
+    reached = F.col("all_ss") - F.col("s") * F.col("s") / F.col("n") - F.when(rest > 0, rest_s * rest_s / rest).otherwise(0.0)
+    return left.join(F.broadcast(whole)).groupBy("row_count", "model_sse").agg(  # whole is one row
+        F.round(F.min(reached), 3).alias("one_split_sse")).select(
+        "row_count", "one_split_sse", (F.col("model_sse") < F.col("one_split_sse")).alias("beats_one_split"))
+
+
 def ml_decision_tree_fit(spark, sf_dir):
     """A leaf predicts the mean of its training rows, so errors cancel out within every leaf."""
-    leaves = _training_errors(spark, sf_dir, "Decision Tree").groupBy("prediction").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("error").alias("leaf_error")
-    )
-    return leaves.agg(F.sum("n").alias("row_count"), F.round(F.max(F.abs("leaf_error")), 6).alias("worst_leaf_error"))
+    errors = _training_errors(spark, sf_dir, "Decision Tree")
+    leaves = errors.groupBy("prediction").agg(F.avg("error").alias("leaf_error"))
+    worst = leaves.agg(F.round(F.max(F.abs("leaf_error")), 6).alias("worst_leaf_error"))
+    return _beats_one_split(errors).join(F.broadcast(worst))  # one row each
+
+
+def ml_random_forest_fit(spark, sf_dir):
+    return _beats_one_split(_training_errors(spark, sf_dir, "Random Forest"))
 
 
 def ml_gbt_fit(spark, sf_dir):
     """Each round fits what the rounds before it missed, so errors cancel out over the training rows."""
     errors = _training_errors(spark, sf_dir, "Gradient Boosting")
-    return errors.agg(F.count(F.lit(1)).alias("row_count"), F.round(F.abs(F.avg("error")), 6).alias("mean_error"))
+    mean = errors.agg(F.round(F.abs(F.avg("error")), 6).alias("mean_error"))
+    return _beats_one_split(errors).join(F.broadcast(mean))  # one row each
 
 
 def ml_leaderboard(spark, sf_dir):
     cfg = LakeConfig(shared_folder(spark, "ml_leaderboard"))
     train.save(spark, cfg, _fit(spark, sf_dir))
-    PipelineModel.load(cfg.table("model"))
+    train.load_model(spark, cfg)
     return train.read_leaderboard(spark, cfg)
 
 
 def ml_runs(spark, sf_dir):
     cfg = LakeConfig(shared_folder(spark, "ml_runs"))
-    train.log_runs(spark, cfg, _fit(spark, sf_dir, ["Linear Regression", "Decision Tree"]))
+    train.log_runs(spark, cfg, _fit(spark, sf_dir))
     runs = read_table(spark, cfg.table("model_runs"))
     return runs.select("model_name", "target", F.array_join("features", ",").alias("features"),
                        F.map_entries("metrics").alias("metrics"))
@@ -454,6 +486,7 @@ def registered() -> dict[str, Query]:
         "ml_linear": _model_scores("Linear Regression"),
         "ml_linear_fit": ml_linear_fit,
         "ml_decision_tree_fit": ml_decision_tree_fit,
+        "ml_random_forest_fit": ml_random_forest_fit,
         "ml_gbt_fit": ml_gbt_fit,
         "ml_decision_tree": _model_scores("Decision Tree"),
         "ml_random_forest": _model_scores("Random Forest"),

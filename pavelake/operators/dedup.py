@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pavelake.config import EVENT_KEY, WATERMARK
@@ -22,6 +22,11 @@ def dedup_batch(df: DataFrame, keys: Sequence[str] = EVENT_KEY, order: Sequence[
     return df.withColumn("_arrival", F.row_number().over(first)).filter("_arrival = 1").drop("_arrival")
 
 
+def copy_slices(spark: SparkSession, wanted: int | None = None) -> int:
+    """Slices that a hot key's copies are thinned in: as many as there are shuffle partitions, unless said."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions")) if wanted is None else wanted
+
+
 def dedup_stream(
     df: DataFrame,
     keys: Sequence[str] = EVENT_KEY,

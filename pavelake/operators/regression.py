@@ -15,7 +15,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pavelake.config import EVENT_KEY
+from pavelake.config import EVENT_KEY, QualityLimits
 from pavelake.functions.keys import event_bucket
 from pavelake.functions.numeric import round_half_even
 from pavelake.schemas import PREDICTIONS
@@ -30,7 +30,6 @@ TRAIN_BUCKETS = 8
 SEED = 42
 
 WEIGHT = "row_weight"
-FOREST_PIECES = 64
 LABEL = "label"
 
 
@@ -46,30 +45,16 @@ def with_split(rows: DataFrame) -> DataFrame:
     return rows.withColumn("bucket", bucket).withColumn("is_train", F.col("bucket") < TRAIN_BUCKETS)
 
 
-def collapse(rows: DataFrame) -> DataFrame:
+def collapse(rows: DataFrame, *also: str) -> DataFrame:
     """Equal (features, target, side of the split) become one row with a weight.
 
     All features are small integers or categories, so the result stops growing with the input
     long before the input does. A fit that honours weights gives the same model on it.
     """
-    columns = [*FEATURES, TARGET, *(["is_train"] if "is_train" in rows.columns else [])]
+    columns = [*FEATURES, TARGET, *also, *(["is_train"] if "is_train" in rows.columns else [])]
     return rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
 
 
-def in_pieces(collapsed: DataFrame, pieces: int = FOREST_PIECES) -> DataFrame:
-    """Share each weight among up to ``pieces`` equal rows, for fits that draw rows at random.
-
-    A bootstrap draws pieces, so a row that stood for very many must not be drawn as one. Up to
-    ``pieces`` equal rows are drawn one by one, as if never collapsed; beyond that they are drawn in
-    bundles. Weights are whole numbers and keep their sum.
-    """
-    n = F.least(F.col(WEIGHT), F.lit(float(pieces)))
-    cut = collapsed.withColumn("piece", F.explode(F.sequence(F.lit(0), n.cast("int") - 1)))
-    share = F.floor(F.col(WEIGHT) / n)
-    extra = F.when(F.col("piece") < F.col(WEIGHT) - share * n, 1).otherwise(0)
-    return cut.withColumn(WEIGHT, (share + extra).cast("double")).drop("piece")
-
-
 def feature_pipeline() -> Pipeline:
     """One-hot blocks, then the numbers. A category not seen in training, or NULL, is an all-zero block."""
     index = [f"{name}_index" for name in CATEGORICAL]
@@ -83,14 +68,21 @@ def feature_pipeline() -> Pipeline:
     ])
 
 
+def bins_for(limits: QualityLimits = QualityLimits()) -> int:
+    """More bins than any feature has valid values, so that trees try every threshold and none is sampled."""
+    ranges = (limits.traffic_volume, limits.congestion, (0, 23))
+    return 1 << max(high - low + 2 for low, high in ranges).bit_length()
+
+
 def regressors(
     forest_trees: int = 200,
     boosting_rounds: int = 200,
-    max_bins: int = 256,
+    max_bins: int | None = None,
 ) -> dict[str, Estimator]:
     """The four contenders, in the order in which ties are decided."""
+    max_bins = max_bins or bins_for()
     return {
-        "Linear Regression": LinearRegression(labelCol=LABEL),
+        "Linear Regression": LinearRegression(labelCol=LABEL, tol=1e-12, maxIter=1000),
         "Decision Tree": DecisionTreeRegressor(labelCol=LABEL, maxDepth=8, maxBins=max_bins, seed=SEED),
         "Random Forest": RandomForestRegressor(
             labelCol=LABEL,

@@ -54,7 +54,8 @@ def inspect_gold(spark: SparkSession, cfg: LakeConfig, sample: int = 10) -> dict
     }
 
 
-def show(found: dict[str, DataFrame]) -> None:
+def show(found: dict[str, DataFrame], rows: int = 100) -> None:
+    """Print each table, of long ones the first rows, and say how many there are."""
     for title, df in found.items():
-        print(f"\n{title}")
-        df.show(100, truncate=False)
+        print(f"\n{title} ({df.count()} rows, at most {rows} shown)")
+        df.show(rows, truncate=False)

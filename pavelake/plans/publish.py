@@ -45,18 +45,23 @@ def start_dimensions(spark: SparkSession, cfg: LakeConfig, trigger: Trigger = No
     )
 
 
+def hourly_table(cfg: LakeConfig, name: str) -> str:
+    """Each mode has a table and a checkpoint of its own, so a lake can be switched without mixing them."""
+    return name if cfg.hourly_mode == "complete" else f"{name}_final"
+
+
 def start_hourly(spark: SparkSession, cfg: LakeConfig, name: str, trigger: Trigger = None) -> StreamingQuery:
     metrics = HOURLY[name](silver_stream(spark, cfg), cfg.window, cfg.watermark)
-    sink = rewrite_sink if cfg.hourly_mode == "complete" else append_sink
-    return sink(
-        metrics, cfg.table(name), cfg.checkpoint(name), name=name, fmt=cfg.table_format, trigger=trigger
-    )
+    table = hourly_table(cfg, name)
+    options = {"name": table, "fmt": cfg.table_format, "trigger": trigger}
+    if cfg.hourly_mode == "complete":
+        return rewrite_sink(metrics, cfg.table(table), cfg.checkpoint(table), keep_seconds=cfg.keep_versions_seconds, **options)
+    return append_sink(metrics, cfg.table(table), cfg.checkpoint(table), **options)
 
 
 def read_hourly(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame:
-    if cfg.hourly_mode == "complete":
-        return read_latest(spark, cfg.table(name), cfg.table_format)
-    return read_table(spark, cfg.table(name), cfg.table_format)
+    read = read_latest if cfg.hourly_mode == "complete" else read_table
+    return read(spark, cfg.table(hourly_table(cfg, name)), cfg.table_format)
 
 
 def run(spark: SparkSession, cfg: LakeConfig, trigger: Trigger = None) -> None:

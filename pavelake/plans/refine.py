@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pavelake.config import LakeConfig
-from pavelake.operators.dedup import dedup_stream
+from pavelake.operators.dedup import copy_slices, dedup_stream
 from pavelake.operators.features import with_features
 from pavelake.operators.quality import OK, validate, with_clean_verdict, without_verdict
 from pavelake.schemas import BRONZE, SILVER, VALIDATED
@@ -37,7 +37,7 @@ def start_silver(spark: SparkSession, cfg: LakeConfig, trigger: Trigger = None)
         spark, cfg.table("silver_validated"), VALIDATED, cfg.table_format, cfg.max_files_per_trigger
     )
     passing = without_verdict(validated.filter(F.col("dq_flag") == OK))
-    unique = dedup_stream(passing, watermark=cfg.watermark, slices=cfg.copy_slices)
+    unique = dedup_stream(passing, watermark=cfg.watermark, slices=copy_slices(spark, cfg.copy_slices))
     return append_sink(
         with_features(with_clean_verdict(unique)).select(*SILVER.fieldNames()),
         cfg.table("silver"),

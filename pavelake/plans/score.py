@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from pavelake.config import LakeConfig
 from pavelake.operators.regression import score
 from pavelake.schemas import FACT, PREDICTIONS
-from pavelake.sources.tables import path_exists, stream_table
-from pavelake.streaming.sinks import BATCH, Trigger, batch_sink, write_batch
+from pavelake.sources.tables import has_files, stream_table
+from pavelake.plans.train import load_model
+from pavelake.streaming.sinks import Trigger, append_sink
 from pavelake.streaming.supervise import is_finite, run_to_end, run_until_first_stops
 
 POLL = {"processingTime": "5 seconds"}
 NAME = "predictions"
 
 
-def load_model(spark: SparkSession, cfg: LakeConfig) -> PipelineModel:
-    if not path_exists(spark, cfg.table("model")):
-        raise FileNotFoundError(f"no model under {cfg.table('model')}; run the training job first")
-    return PipelineModel.load(cfg.table("model"))
-
-
 def _fact_stream(spark: SparkSession, cfg: LakeConfig, bounded: bool = True) -> DataFrame:
     limit = cfg.max_files_per_trigger if bounded else None
     return stream_table(spark, cfg.table("fact"), FACT, cfg.table_format, limit)
@@ -32,16 +27,22 @@ def _fact_stream(spark: SparkSession, cfg: LakeConfig, bounded: bool = True) ->
 def skip_existing(spark: SparkSession, cfg: LakeConfig) -> None:
     """Move the scorer's checkpoint past all rows stored so far.
 
-    The batch function ignores its batch, so files are listed but none is read. Does nothing once
-    the scorer has a checkpoint: rows that came in while it was down are then scored on restart.
+    Its filter lets no row pass, so no file is read. Does nothing once the scorer has committed a
+    batch: rows that came in while it was down are then scored on restart. A start that died before its
+    first commit is repeated.
     """
-    if path_exists(spark, f"{cfg.checkpoint(NAME)}/offsets"):
+    if has_files(spark, f"{cfg.checkpoint(NAME)}/commits"):
         return
-    everything = _fact_stream(spark, cfg, bounded=False)
-    run_to_end([
-        lambda: batch_sink(everything, cfg.checkpoint(NAME), lambda batch, batch_id: None,
-                           trigger={"availableNow": True})
-    ])
+    run_to_end([lambda: _append(spark, cfg, _fact_stream(spark, cfg, bounded=False).where("false"), {"availableNow": True})])
+
+
+def _append(spark: SparkSession, cfg: LakeConfig, fact: DataFrame, trigger: Trigger, fmt: str | None = None) -> StreamingQuery:
+    fmt = fmt or cfg.table_format
+    scored = score(fact, load_model(spark, cfg)).withColumn("event_date", F.to_date("event_ts"))
+    return append_sink(
+        scored, cfg.table(NAME), cfg.checkpoint(NAME), name=NAME, fmt=fmt, partition_by=["event_date"], trigger=trigger,
+        options={"header": "true"} if fmt == "csv" else None,
+    )
 
 
 def start_scoring(
@@ -50,17 +51,8 @@ def start_scoring(
     trigger: Trigger = None,
     fmt: str | None = None,
 ) -> StreamingQuery:
-    """Append predictions, one folder per micro-batch; a repeated batch replaces its own folder."""
-    model = load_model(spark, cfg)
-    fmt = fmt or cfg.table_format
-    options = {"header": "true"} if fmt == "csv" else None
-
-    def score_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(score(batch, model), batch_id, cfg.table(NAME), fmt, NAME, options)
-
-    return batch_sink(
-        _fact_stream(spark, cfg), cfg.checkpoint(NAME), score_batch, name=NAME, trigger=trigger or POLL
-    )
+    """Append predictions by event date. Readers go through the sink's log and never see half a batch."""
+    return _append(spark, cfg, _fact_stream(spark, cfg), trigger or POLL, fmt)
 
 
 def read_predictions(spark: SparkSession, cfg: LakeConfig, fmt: str | None = None) -> DataFrame:
@@ -69,7 +61,7 @@ def read_predictions(spark: SparkSession, cfg: LakeConfig, fmt: str | None = Non
     if fmt == "csv":
         reader = reader.option("header", True)
     if fmt != "delta":
-        reader = reader.schema(StructType([*PREDICTIONS, StructField(BATCH.rstrip("="), LongType())]))
+        reader = reader.schema(StructType([*PREDICTIONS, StructField("event_date", DateType())]))
     return reader.load(cfg.table(NAME)).select(*PREDICTIONS.fieldNames())
 
 

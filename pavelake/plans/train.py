@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -16,7 +17,7 @@ from pavelake.operators import regression
 from pavelake.operators.regression import FEATURES, LABEL, TARGET, WEIGHT
 from pavelake.schemas import FACT, LEADERBOARD
 from pavelake.session import use_checkpoints
-from pavelake.sources.tables import read_table
+from pavelake.sources.tables import path_exists, read_table
 
 METRICS = ("train_r2", "test_r2", "test_rmse", "test_mae")
 
@@ -33,34 +34,45 @@ class Training:
 
     def leaderboard(self, spark: SparkSession) -> DataFrame:
         rows = [Row(model_name=name, **values) for name, values in self.scores.items()]
-        return spark.createDataFrame(rows, LEADERBOARD).orderBy(F.desc("test_r2"))
+        return spark.createDataFrame(rows, LEADERBOARD).orderBy(F.desc("test_r2"), "model_name")
 
 
 def fit_all(fact: DataFrame, models: Mapping[str, Estimator] | None = None) -> Training:
     """Fit each model on the training side and measure it on both.
 
-    The fact table is read once, into collapsed rows whose number is bounded by the feature
-    domains. Indexing, fits and evaluation all work on those, with weights.
+    The fact table is read into collapsed rows whose number is bounded by the feature domains; indexing, weighted fits
+    and evaluation work on those, encoded once for all models. The forest draws its bootstrap from the rows themselves.
     """
     models = dict(models or regression.regressors())
-    small = regression.labelled(regression.collapse(regression.with_split(regression.training_rows(fact))))
-    small = small.persist()
-    features = regression.feature_pipeline().fit(small.filter("is_train"))
-    weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT)
+    rows = regression.labelled(regression.with_split(regression.training_rows(fact)))
+    small = regression.collapse(rows, LABEL).persist()
+    weighted = singles = None
     try:
+        features = regression.feature_pipeline().fit(small.filter("is_train"))
+        weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT).persist()
         fitted, scores = {}, {}
         for name, model in models.items():
-            train_side = weighted.filter("is_train")
             if isinstance(model, RandomForestRegressor):
-                train_side = regression.in_pieces(train_side)
-            last = model.copy({model.weightCol: WEIGHT}).fit(train_side)
+                singles = features.transform(rows.filter("is_train")).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+                last = model.fit(singles)
+            else:
+                last = model.copy({model.weightCol: WEIGHT}).fit(weighted.filter("is_train"))
             fitted[name] = PipelineModel(stages=[*features.stages, last])
             scores[name] = _scores(last.transform(weighted))
     finally:
-        small.unpersist()
+        for frame in (small, weighted, singles):
+            if frame is not None:
+                frame.unpersist()
     return Training(fitted, scores, max(scores, key=lambda name: scores[name]["test_r2"]))
 
 
+def together(parts: Sequence[Training]) -> Training:
+    """Fits made one by one, compared as if made in one run."""
+    models = {name: model for part in parts for name, model in part.models.items()}
+    scores = {name: values for part in parts for name, values in part.scores.items()}
+    return Training(models, scores, max(scores, key=lambda name: scores[name]["test_r2"]))
+
+
 def _scores(scored: DataFrame) -> dict[str, float]:
     sides = regression.regression_metrics(scored, by=["is_train"], weight=F.col(WEIGHT))
     by_side = {row["is_train"]: row for row in sides.collect()}
@@ -73,21 +85,30 @@ def _scores(scored: DataFrame) -> dict[str, float]:
 
 def save(spark: SparkSession, cfg: LakeConfig, training: Training) -> None:
     """Best model, sorted leaderboard, and what was trained on what."""
-    training.best.write().overwrite().save(cfg.table("model"))
+    path = f"{cfg.table('model')}/{uuid.uuid4().hex}"
+    training.best.write().save(path)
     board = training.leaderboard(spark)
     board.coalesce(1).write.mode("overwrite").option("header", True).csv(cfg.table("leaderboard"))
     metadata = Row(
         target_column=TARGET,
         feature_columns=list(FEATURES),
         best_model_name=training.best_name,
-        model_path=cfg.table("model"),
+        model_path=path,
     )
     spark.createDataFrame([metadata]).coalesce(1).write.mode("overwrite").json(cfg.table("training_metadata"))
 
 
+def load_model(spark: SparkSession, cfg: LakeConfig) -> PipelineModel:
+    """The model that the metadata of the last training names; older ones stay for jobs that are loading them."""
+    if not path_exists(spark, cfg.table("training_metadata")):
+        raise FileNotFoundError(f"no model under {cfg.root}; run the training job first")
+    path = spark.read.schema("model_path string").json(cfg.table("training_metadata")).first()["model_path"]
+    return PipelineModel.load(path)
+
+
 def read_leaderboard(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
     board = spark.read.schema(LEADERBOARD).option("header", True).csv(cfg.table("leaderboard"))
-    return board.orderBy(F.desc("test_r2"))
+    return board.orderBy(F.desc("test_r2"), "model_name")
 
 
 def log_runs(spark: SparkSession, cfg: LakeConfig, training: Training) -> None:

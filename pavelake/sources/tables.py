@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,10 +68,18 @@ def list_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def drop_versions(spark: SparkSession, path: str, keep: int) -> None:
-    for version in list_versions(spark, path)[:-keep]:
-        fs, folder = _hadoop_path(spark, f"{path}/{VERSION}{version}")
-        fs.delete(folder, True)
+def has_files(spark: SparkSession, path: str) -> bool:
+    fs, folder = _hadoop_path(spark, path)
+    return fs.exists(folder) and len(fs.listStatus(folder)) > 0
+
+
+def drop_versions(spark: SparkSession, path: str, older_than_seconds: float) -> None:
+    """Delete versions that were replaced longer ago than that; the newest one always stays."""
+    versions = list_versions(spark, path)
+    for version, following in zip(versions, versions[1:]):
+        fs, replaced = _hadoop_path(spark, f"{path}/{VERSION}{following}/_SUCCESS")
+        if time.time() - fs.getFileStatus(replaced).getModificationTime() / 1000 >= older_than_seconds:
+            fs.delete(_hadoop_path(spark, f"{path}/{VERSION}{version}")[1], True)
 
 
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

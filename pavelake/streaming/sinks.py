@@ -79,20 +79,20 @@ def rewrite_sink(
     name: str | None = None,
     fmt: str = "parquet",
     trigger: Trigger = None,
-    keep: int = 3,
+    keep_seconds: float = 3600,
 ) -> StreamingQuery:
     """Replace the whole table with every micro-batch (output mode ``complete``).
 
     Delta does this itself. Other formats get one folder per batch; ``read_latest`` picks the
-    newest committed one, so readers keep a complete table while the next is being written. The
-    ``keep`` newest versions stay for readers that are still busy with them.
+    newest committed one, so readers keep a complete table while the next is being written.
+    Replaced versions stay ``keep_seconds`` for readers that are still busy with them.
     """
     if fmt == "delta":
         return _writer(df, checkpoint, name, trigger).format(fmt).outputMode("complete").start(path)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path}/{VERSION}{batch_id}")
-        drop_versions(batch.sparkSession, path, keep)
+        drop_versions(batch.sparkSession, path, keep_seconds)
 
     return batch_sink(df, checkpoint, replace, name=name, trigger=trigger, output_mode="complete")
 

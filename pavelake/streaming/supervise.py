@@ -10,16 +10,23 @@ from pyspark.sql.streaming import StreamingQuery
 from pavelake.streaming.sinks import Trigger
 
 
+POLL_SECONDS = 1
+
+
 def is_finite(trigger: Trigger) -> bool:
     return bool(trigger and (trigger.get("availableNow") or trigger.get("once")))
 
 
 def run_until_first_stops(spark: SparkSession, starters: Iterable[Callable[[], StreamingQuery]]) -> None:
-    """Start all, wait until any of them ends or fails, then stop the others."""
+    """Start all, wait until any of them ends or fails, then stop the others.
+
+    Only the queries started here are waited for: others of the session may have ended before or may end meanwhile.
+    """
     running: list[StreamingQuery] = []
     try:
         running.extend(start() for start in starters)
-        spark.streams.awaitAnyTermination()
+        while running and not any(query.awaitTermination(POLL_SECONDS) for query in running):
+            pass
     finally:
         stop_all(running)
 

@@ -1,6 +1,9 @@
 """The jobs end to end, in two deliveries, over a folder of message files."""
 
 import dataclasses
+import threading
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +138,42 @@ def test_scoring_to_csv(spark, cfg, tmp_path):
     assert score.read_predictions(spark, other, "csv").count() == table(spark, cfg, "fact", FACT).count()
 
 
+def test_scoring_goes_on_until_stopped(spark, cfg, tmp_path):
+    """A first start passes over what is stored and then scores what comes in, whatever ended in this session before."""
+    other = dataclasses.replace(cfg, root=str(tmp_path))
+    fact = table(spark, cfg, "fact", FACT)
+    train.save(spark, other, train.fit_all(fact, {"Linear Regression": regression.regressors()["Linear Regression"]}))
+    first = F.col("event_ts") < fact.select(F.expr("percentile(unix_seconds(event_ts), 0.5)").cast("timestamp")).first()[0]
+    fact.where(first).write.partitionBy("event_date").parquet(other.table("fact"))
+    # a start that died before its first commit leaves this behind
+    Path(other.checkpoint("predictions"), "offsets").mkdir(parents=True)
+    job = threading.Thread(target=score.run, args=(spark, other, {"processingTime": "1 second"}), daemon=True)
+    job.start()
+    wait_for(lambda: any(q.name == "predictions" and q.isActive and q.lastProgress for q in spark.streams.active))
+    fact.where(~first).write.mode("append").partitionBy("event_date").parquet(other.table("fact"))
+    new = fact.where(~first).count()
+
+    def scored():
+        try:
+            return score.read_predictions(spark, other).count()
+        except Exception:  # nothing committed so far
+            return 0
+
+    wait_for(lambda: scored() >= new)
+    assert job.is_alive() and scored() == new
+    for query in spark.streams.active:
+        query.stop()
+    job.join(30)
+    assert not job.is_alive()
+
+
+def wait_for(done, seconds=120):
+    end = time.time() + seconds
+    while not done():
+        assert time.time() < end
+        time.sleep(0.5)
+
+
 def test_scoring_without_a_model(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="training"):
         score.load_model(spark, LakeConfig(str(tmp_path)))

@@ -7,9 +7,6 @@ from check import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 SQL = contract.oracle_sql()
-# Covered by test_regression and test_jobs; too slow to be fitted twice here.
-SLOW = {"ml_random_forest", "ml_gbt", "ml_leaderboard", "ml_runs"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -20,7 +17,7 @@ def test_every_oracle_belongs_to_a_query():
     assert SQL.keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, con, name):
     result = contract.queries()[name](spark, SF_DIR)
     if name in SQL:

@@ -117,11 +117,19 @@ def test_models_carry_the_published_parameters():
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (200, 0.05, 3)
 
 
-def test_pieces_keep_the_weight(spark):
-    df = spark.createDataFrame([("a", 1.0), ("b", 64.0), ("c", 1000.0)], f"k string, {regression.WEIGHT} double")
-    got = regression.in_pieces(df).groupBy("k").agg(
-        F.count("*").alias("n"), F.sum(regression.WEIGHT).alias("w"), F.min(regression.WEIGHT).alias("lo"),
-        F.max(regression.WEIGHT).alias("hi"))
-    assert {r.k: (r.n, r.w, r.lo, r.hi) for r in got.collect()} == {
-        "a": (1, 1.0, 1.0, 1.0), "b": (64, 64.0, 1.0, 1.0), "c": (64, 1000.0, 15.0, 16.0)
-    }
+def test_bins_cover_every_valid_value():
+    assert regression.bins_for() > 1001
+
+
+def test_forest_draws_single_rows(spark, rows, monkeypatch):
+    """A row that is there 10,000 times reaches the forest as 10,000 rows."""
+    from pyspark.ml.regression import RandomForestRegressor
+
+    seen, fit = [], RandomForestRegressor._fit
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: (seen.append((df.count(), self.isSet("weightCol"))), fit(self, df))[1])
+    plain = rows.drop("bucket", "is_train", "label")
+    one = rows.where("is_train").drop("bucket", "is_train", "label").limit(1)
+    many = plain.unionByName(one.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(10_000)))).drop("k"))
+    forest = regression.regressors(forest_trees=2)["Random Forest"].copy({})
+    train.fit_all(many, {"Random Forest": forest})
+    assert seen == [(rows.where("is_train").count() + 10_000, False)]
