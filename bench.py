@@ -8,11 +8,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from pavelake.checks.queries import registered
+from pavelake.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
@@ -40,19 +42,22 @@ HEADLINE = [
     "dim_zone_stream",
     "ml_linear",
     "ml_decision_tree",
+    "ml_random_forest",
+    "ml_gbt",
+    "ml_leaderboard",
+    "score_new_rows",
+    "late_drop_audit",
 ]
 
 
 def session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]").appName("bench")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+    spark = build_session("bench", f"local[{CPUS}]", conf={
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+        "spark.sql.shuffle.partitions": CPUS,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+    })
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
