@@ -87,6 +87,12 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_rows(_silver(spark, sf_dir)).drop("ingested_at")
 
 
+def _fact_table(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """The fact rows, stored once for queries that read them more than once: the feed is parsed a single time."""
+    path = _stored(_fact(spark, sf_dir), f"{shared_folder(spark, label)}/fact")
+    return read_table(spark, path)
+
+
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regression.training_rows(_fact(spark, sf_dir))
 
@@ -262,8 +268,9 @@ def dedup_window_chain(spark, sf_dir):
 
 
 def profile_tables(spark, sf_dir):
-    silver = _silver(spark, sf_dir)
-    tables = {"fact": fact_rows(silver)} | {n: dimension(silver, n) for n in ("dim_zone", "dim_road", "dim_weather")}
+    fact = fact_rows(_silver(spark, sf_dir))
+    fact = read_table(spark, _stored(fact, f"{shared_folder(spark, 'profile_tables')}/fact"), schema=fact.schema)
+    tables = {"fact": fact} | {n: dimension(fact, n) for n in ("dim_zone", "dim_road", "dim_weather")}
     profiles = [reports.table_profile(df, name) for name, df in tables.items()]
     together = profiles[0]
     for profile in profiles[1:]:
@@ -277,7 +284,7 @@ def _of_fact(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _with_dimension(report: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> Query:
     def run(spark, sf_dir):
-        fact = _fact(spark, sf_dir)
+        fact = _fact_table(spark, sf_dir, name)
         return report(fact, dimension(fact, name))
 
     return run

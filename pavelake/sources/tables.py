@@ -55,16 +55,16 @@ def stream_table(
     return reader.load(path)
 
 
-def list_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write was committed, oldest first."""
+def list_versions(spark: SparkSession, path: str, prefix: str = VERSION) -> list[int]:
+    """Versions, or other numbered folders, whose write was committed, oldest first."""
     fs, folder = _hadoop_path(spark, path)
     if not fs.exists(folder):
         return []
     found = []
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
-        if name.startswith(VERSION) and path_exists(spark, f"{path}/{name}/_SUCCESS"):
-            found.append(int(name[len(VERSION):]))
+        if name.startswith(prefix) and path_exists(spark, f"{path}/{name}/_SUCCESS"):
+            found.append(int(name[len(prefix):]))
     return sorted(found)
 
 
