@@ -6,7 +6,7 @@ import argparse
 
 from pavelake.config import WATERMARK, WINDOW, LakeConfig
 from pavelake.operators.regression import regressors
-from pavelake.plans import ingest, inspect, publish, refine, score, train
+from pavelake.plans import announce, ingest, inspect, publish, refine, score, train
 from pavelake.session import build_session
 from pavelake.streaming.audit import LateRows
 
@@ -15,7 +15,7 @@ STREAMS = {"bronze": ingest.run, "silver": refine.run, "gold": publish.run, "sco
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pavelake")
-    parser.add_argument("job", choices=[*STREAMS, "train", "inspect-silver", "inspect-gold"])
+    parser.add_argument("job", choices=[*STREAMS, "publish", "train", "inspect-silver", "inspect-gold"])
     parser.add_argument("--root", required=True, help="folder of the lake's tables and checkpoints")
     parser.add_argument("--format", default="parquet", help="table format: parquet or delta")
     parser.add_argument("--master")
@@ -28,6 +28,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of one micro-batch; 0: no limit")
     parser.add_argument("--keep-versions-seconds", type=int, default=3600, help="how long replaced table versions stay")
     parser.add_argument("--hive", action="store_true", help="with Hive support")
+    parser.add_argument("--table", default="silver", choices=sorted(announce.TABLES), help="table to publish")
+    parser.add_argument("--with-nulls", action="store_true", help="publish NULL fields as null")
     parser.add_argument("--rows", type=int, default=100, help="rows that inspection shows of a table")
     parser.add_argument("--trees", type=int, default=200, help="trees of the random forest")
     parser.add_argument("--rounds", type=int, default=200, help="rounds of gradient boosting")
@@ -57,7 +59,9 @@ def main(argv: list[str] | None = None) -> None:
         trigger = {"processingTime": args.every}
     spark = build_session(f"pavelake-{args.job}", args.master, delta=args.format == "delta", hive=args.hive)
     try:
-        if args.job in STREAMS:
+        if args.job == "publish":
+            announce.run(spark, cfg, trigger, args.table, args.with_nulls)
+        elif args.job in STREAMS:
             spark.streams.addListener(LateRows(spark, cfg.table("late_rows"), cfg.table_format))
             STREAMS[args.job](spark, cfg, trigger)
         elif args.job == "train":

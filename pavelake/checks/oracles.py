@@ -253,6 +253,7 @@ def oracles() -> dict[str, str]:
         "encode_roundtrip": _sql(
             "SELECT vehicle_id, road_id, city_zone, speed, congestion_level, traffic_volume, incident_flag, "
             "weather, event_time, sent_at AS kafka_timestamp FROM payload", "payload"),
+        "publish_stream": _sql("SELECT vehicle_id, road_id, city_zone, weather, event_ts, speed_int FROM fact", "fact"),
         "silver_typed": _sql(f"SELECT * {_TYPED_GAPS} FROM typed", "typed"),
         "dq_flags": _sql(f"SELECT * {_TYPED_GAPS} FROM flagged", "flagged"),
         "dq_reasons": _sql("SELECT raw_json, kafka_timestamp, invalid_reason, dq_flag, "

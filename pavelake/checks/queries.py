@@ -31,8 +31,8 @@ from pavelake.operators.quality import (
     with_types,
 )
 from pavelake.operators.star import dimension, fact_rows
-from pavelake.plans import publish, score, train
-from pavelake.schemas import BRONZE, FACT, SILVER, VALIDATED
+from pavelake.plans import announce, publish, score, train
+from pavelake.schemas import BRONZE, FACT, MESSAGE, SILVER, VALIDATED
 from pavelake.session import shared_folder, use_checkpoints
 from pavelake.sources import bindings
 from pavelake.sources.messages import decode_messages
@@ -135,6 +135,17 @@ def encode_roundtrip(spark, sf_dir):
     return decode_messages(bindings.payload_messages(bindings.events_batch(spark, sf_dir))).drop("raw_json")
 
 
+def publish_stream(spark, sf_dir):
+    """The fact table published as messages by the job and read back."""
+    root = shared_folder(spark, "publish_stream")
+    cfg = LakeConfig(root, message_source="parquet", message_options={"path": f"{root}/messages"})
+    fact_rows(_silver(spark, sf_dir)).write.partitionBy("event_date").parquet(cfg.table("fact"))
+    announce.run(spark, cfg, ALL_AVAILABLE, "fact")
+    fields = "vehicle_id string, road_id string, city_zone string, weather string, event_ts timestamp, speed_int int"
+    text = read_table(spark, f"{root}/messages", schema=MESSAGE).select(F.col("value").cast("string").alias("v"))
+    return text.select(F.inline(F.array(F.from_json("v", fields))))
+
+
 # -- clean and rejected ---------------------------------------------------------------------------
 
 
@@ -455,6 +466,7 @@ def registered() -> dict[str, Query]:
         "bronze_parse": _with_gaps(bronze_parse),
         "bronze_stream": _with_gaps(bronze_stream),
         "encode_roundtrip": encode_roundtrip,
+        "publish_stream": publish_stream,
         "silver_typed": _with_gaps(silver_typed),
         "dq_flags": _with_gaps(dq_flags),
         "dq_reasons": dq_reasons,

@@ -44,10 +44,14 @@ def iso_utc(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
-def encode_messages(rows: DataFrame, timestamp: Column | None = None) -> DataFrame:
-    """One UTF-8 JSON object per row. Timestamp columns are written by ``iso_utc``; NULLs are left out."""
+def encode_messages(rows: DataFrame, timestamp: Column | None = None, *, with_nulls: bool = False) -> DataFrame:
+    """One UTF-8 JSON object per row. Timestamp columns are written by ``iso_utc``; NULLs are left out or, with
+    ``with_nulls``, written as ``null``. A single column of text or bytes is passed on as it is."""
+    stamp = F.current_timestamp() if timestamp is None else timestamp
+    if len(rows.columns) == 1 and rows.dtypes[0][1] in ("string", "binary"):
+        return rows.select(F.col(rows.columns[0]).cast("binary").alias("value"), stamp.alias("timestamp"))
     fields = [
         iso_utc(F.col(name)).alias(name) if dtype == "timestamp" else F.col(name) for name, dtype in rows.dtypes
     ]
-    stamp = F.current_timestamp() if timestamp is None else timestamp
-    return rows.select(F.to_json(F.struct(*fields)).cast("binary").alias("value"), stamp.alias("timestamp"))
+    text = F.to_json(F.struct(*fields), {"ignoreNullFields": str(not with_nulls).lower()})
+    return rows.select(text.cast("binary").alias("value"), stamp.alias("timestamp"))
