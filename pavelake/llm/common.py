@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,18 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+@contextmanager
+def narrow_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Fewer rows per Arrow batch for the jobs run inside, where a row is a whole text."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small(frame: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a side whose rows were counted for broadcasting if there are few; else Spark joins it by shuffling."""
     return F.broadcast(frame) if rows <= limit else frame
