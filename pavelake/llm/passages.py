@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pavelake.llm.arrays import span_hashes, word_hashes
-from pavelake.llm.common import kept, small, text_or_empty
+from pavelake.llm.common import kept, text_or_empty
 
 LEAST = 50  # words of a passage
 GRAM = 8  # words whose hash is compared to choose a position
@@ -117,12 +117,19 @@ def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _chained(rows: pd.DataFrame) -> pd.DataFrame:
     x, y, shift, p = (rows[c].to_numpy(np.int64) for c in ("x", "y", "shift", "p"))
     if not len(x):
-        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("x", "y", "shift", "a", "b")})
+        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("x", "y", "shift", "a", "b")} | {"open": np.zeros(0, bool)})
     new = np.ones(len(x), bool)
     new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (shift[1:] != shift[:-1]) | (p[1:] > p[:-1] + AHEAD)
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(x)) - 1
-    return pd.DataFrame({"x": x[starts], "y": y[starts], "shift": shift[starts], "a": p[starts], "b": p[ends] + AHEAD})
+    x, y, shift, a, b = x[starts], y[starts], shift[starts], p[starts], p[ends] + AHEAD
+    # ends that lie well inside another chain of the document can't change what is covered
+    far = (np.cumsum(np.append(False, x[1:] != x[:-1])).astype(np.int64)) << 40
+    order = np.argsort(far + a, kind="stable")
+    begin, reach = (far + a)[order], np.maximum.accumulate((far + b)[order])
+    until = lambda at: np.where((n := np.searchsorted(begin, at, side="right")) > 0, reach[n - 1], -1)
+    inside = (until(far + a - LEFT) >= far + a) & (until(far + b) >= far + b + RIGHT)
+    return pd.DataFrame({"x": x, "y": y, "shift": shift, "a": a, "b": b, "open": ~inside | (b - a < LEAST)})
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,10 +137,10 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for text, wanted in zip(batch["text"], batch["wanted"]):
-            words = word_hashes(text).view(np.int64)
+            words = (word_hashes(text) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             for w in wanted:
-                out.append((w["chain"], w["role"], words[max(0, w["a"] - LEFT): w["a"]][::-1], words[w["b"]: w["b"] + RIGHT]))
-        yield pd.DataFrame(out, columns=["chain", "role", "left", "right"])
+                out.append((w["chain"], w["role"], w["x"], w["a"], w["b"], words[max(0, w["a"] - LEFT): w["a"]][::-1], words[w["b"]: w["b"] + RIGHT]))
+        yield pd.DataFrame(out, columns=["chain", "role", "x", "a", "b", "left", "right"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -144,9 +151,13 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        left = [_common(a, b) for a, b in zip(batch["left"], batch["left2"])]
-        right = [_common(a, b) for a, b in zip(batch["right"], batch["right2"])]
-        yield pd.DataFrame({"x": batch["x"], "a": batch["a"] - left, "b": batch["b"] + right})
+        out = []
+        for both in batch["both"]:
+            sides = {r["role"]: r for r in both}  # of repeated rows any
+            if len(sides) == 2:
+                mine, other = sides[0], sides[1]
+                out.append((mine["x"], mine["a"] - _common(mine["left"], other["left"]), mine["b"] + _common(mine["right"], other["right"])))
+        yield pd.DataFrame(out, columns=["x", "a", "b"])
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +180,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     spans are [start, end) in words of the whole text, lower-cased runs without white space; overlapping and touching
     ones are joined. Both sides of a match are told. Null, empty and shorter texts share nothing, nor does a passage
     that one document repeats by itself. Rows with a null key are not compared, and rows with equal keys never count
-    as different documents. Words are compared by 64-bit hashes.
+    as different documents. Of rows with equal keys, which should have equal texts, one is extended. Words are compared by hashes.
     """
     kind = docs.schema[key].dataType.simpleString()
     if kind not in ("bigint", "int", "smallint", "tinyint"):
@@ -178,19 +189,18 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     suffixes = rows.mapInPandas(_suffixes, SUFFIX).repartition("route").sortWithinPartitions("route", "before", "x", "p")
     pairs = suffixes.mapInPandas(_neighbours, "x long, p long, y long, q long")
     lines = pairs.withColumn("shift", F.expr("q - p")).select("x", "y", "shift", "p").repartition("x")
-    chains = lines.sortWithinPartitions("x", "y", "shift", "p").mapInPandas(_chains, "x long, y long, shift long, a long, b long")
+    chains = lines.sortWithinPartitions("x", "y", "shift", "p").mapInPandas(
+        _chains, "x long, y long, shift long, a long, b long, open boolean")
     chains = kept(chains.withColumn("chain", F.monotonically_increasing_id()))
     ends = F.explode(F.array(F.struct(F.col("x").alias("id"), F.lit(0).alias("role"), "a", "b"), F.struct(
         F.col("y").alias("id"), F.lit(1).alias("role"), F.expr("a + shift").alias("a"), F.expr("b + shift").alias("b"))))
-    wanted = chains.select("chain", ends.alias("e")).groupBy("e.id").agg(
-        F.collect_list(F.struct("chain", "e.role", "e.a", "e.b")).alias("wanted"))
-    wanted = kept(wanted)
-    seen = kept(rows.join(small(wanted, wanted.count(), 50_000), "id").select("text", "wanted").mapInPandas(
-        _contexts, "chain long, role int, left array<long>, right array<long>"))
-    mine = seen.where("role = 0").select("chain", "left", "right")
-    other = seen.where("role = 1").select("chain", F.col("left").alias("left2"), F.col("right").alias("right2"))
-    spans = chains.join(mine, "chain").join(other, "chain").select("x", "a", "b", "left", "right", "left2", "right2").mapInPandas(
-        _extended, "x long, a long, b long").where(f"b - a >= {LEAST}")
+    wanted = chains.where("open").select("chain", "x", ends.alias("e")).groupBy("e.id").agg(
+        F.collect_list(F.struct("chain", "x", "e.role", "e.a", "e.b")).alias("wanted"))
+    seen = rows.join(wanted, "id").select("text", "wanted").mapInPandas(
+        _contexts, "chain long, role int, x long, a long, b long, left array<int>, right array<int>")
+    both = seen.groupBy("chain").agg(F.collect_list(F.struct("role", "x", "a", "b", "left", "right")).alias("both"))
+    spans = both.select("both").mapInPandas(_extended, "x long, a long, b long").unionByName(chains.where("NOT open").select("x", "a", "b"))
+    spans = spans.where(f"b - a >= {LEAST}")
     merged = spans.distinct().groupBy("x").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")).mapInPandas(
         _merged, "x long, spans array<struct<start:long,end:long>>")
     return merged.select(F.col("x").cast(kind).alias(key), "spans")
