@@ -328,9 +328,7 @@ def test_tree_scores_equal_a_direct_search_of_the_longest_context(spark):
     texts = [t for _, t, _ in languages(60)]
     tree = suffixtree.Tree(suffixtree.grow(spark.createDataFrame([(t,) for t in texts], "text string")))
     assert any(m == suffixtree.DEPTH for m, _ in tree.nodes)
-    states = {}
-    for m, c in tree.nodes:  # distributions by walking to the node from the start
-        states[m, c] = True
+    by_node = {}
     for text in texts[:3] + ["", "zzz ka", prose(3, 3000)]:
         s = suffixtree.sequence(text)
         padded = [suffixtree.END] * suffixtree.DEPTH + s.tolist()
@@ -338,11 +336,20 @@ def test_tree_scores_equal_a_direct_search_of_the_longest_context(spark):
         for x in padded[: suffixtree.DEPTH]:
             state = tree.moves[state + tree.symbol[x]]
         logs = []
-        for x in s.tolist():
-            logs.append(tree.logs[state + tree.symbol[x]])
+        for at, x in enumerate(s.tolist()):
+            context = 0
+            for y in padded[at: at + suffixtree.DEPTH]:
+                context = (context << 8) | y
+            longest = next(n for k in range(suffixtree.DEPTH, -1, -1) if (n := (k, context & ((1 << 8 * k) - 1))) in tree.nodes)
+            # all histories that end in the same longest kept context are scored alike
+            row = tree.logs[state: state + tree.width]
+            assert (by_node.setdefault(longest, row) == row).all()
+            logs.append(row[tree.symbol[x]])
             state = tree.moves[state + tree.symbol[x]]
         assert tree.word_logs([text]).sum() == pytest.approx(sum(logs), abs=1e-6)
         assert len(tree.word_logs([text])) == len(text.split()) + 1
+    different = {r.tobytes() for r in by_node.values()}
+    assert len(different) > 0.9 * len(by_node) > 10
 
 
 def test_toxicity(spark):
