@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pavelake.llm.common import kept
 
+EDGES_OF_A_TASK = 200_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -27,7 +29,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     very many links costs one partial minimum per task; only counts and a checksum reach the driver.
     """
     edges = kept(links.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    seen = None
+    tasks = 1 + edges.count() // EDGES_OF_A_TASK  # edges never become more; few need few files for each shuffle
+    edges, seen = edges.coalesce(tasks), None
     while True:
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == seen:
@@ -35,6 +38,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         seen = mark
         if not mark["n"]:
             break
-        edges = kept(_small_star(_large_star(edges)))
+        edges = kept(_small_star(_large_star(edges).coalesce(tasks)).coalesce(tasks))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -115,11 +115,11 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     size = BANDS * ROWS
     for batch in batches:
         found = [elements(t) for t in batch["text"]]
-        signed: list[np.ndarray] = [np.zeros(0, np.int64)] * len(found)
+        signed: list[np.ndarray] = [np.zeros(0, np.int32)] * len(found)
         for run in batches_of([len(f[0]) for f in found], AT_ONCE):
             real = [i for i in run if len(found[i][0])]
             if real:
-                for i, row in zip(real, signatures([found[i][:2] for i in real], size).view(np.int64)):
+                for i, row in zip(real, (signatures([found[i][:2] for i in real], size) >> U(32)).astype(np.uint32).view(np.int32)):
                     signed[i] = row
         yield pd.DataFrame({"id": batch["id"], "digest": [f[2] for f in found], "signature": signed})
 
@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         raise TypeError("keys are whole numbers")
     rows = docs.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("text"))
     with narrow_batches(docs.sparkSession):
-        signed = kept(rows.where("id IS NOT NULL").mapInPandas(_sign, "id long, digest string, signature array<long>"))
+        signed = kept(rows.where("id IS NOT NULL").mapInPandas(_sign, "id long, digest string, signature array<int>"))
     real = F.size("signature") > 0
     classes = signed.where(real).groupBy("digest").agg(F.min("id").alias("class_id"))
     first = signed.where(real).join(classes, (F.col("id") == F.col("class_id")) & (signed["digest"] == classes["digest"]), "left_semi")
