@@ -1,9 +1,13 @@
-"""Passages that documents share, by a sparse suffix array.
+"""Passages that documents share, by sparse suffixes and windows of 50 words.
 
 Of all suffixes only those are kept that begin at a minimiser: the least hash of eight words in a window of such
-hashes. Every passage of 50 words holds a minimiser that is followed by 31 words of it, in each of its copies. The
-kept suffixes are sorted by these words (by their hash, then by what stands before them) and compared with their
-neighbours; matches that lie on one line are chained, and chains are extended to both sides word by word.
+hashes. Every passage of 50 words holds a minimiser that is followed by 31 words of it, in each of its copies, and
+begins at most 19 words before it. So only suffixes whose 31 words stand in two documents are looked at further:
+
+- where another document has the same 69 words around the minimiser, all of them are shared;
+- else the passages of 50 words in them are looked up one by one among those of the suffixes with the same 31 words.
+
+Nothing is compared in pairs: what stands in two documents is told by the least and the greatest key of its hash.
 """
 
 from __future__ import annotations
@@ -15,149 +19,70 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pavelake.llm.arrays import span_hashes, word_hashes
+from pavelake.llm.arrays import mix, span_hashes, word_hashes
 from pavelake.llm.common import kept, text_or_empty
 
 LEAST = 50  # words of a passage
 GRAM = 8  # words whose hash is compared to choose a position
 SPAN = 20  # hashes of a window
 AHEAD = LEAST - SPAN + 1  # words that are sure to follow the first minimiser of a passage
-LEFT, RIGHT = 32, 64  # words that a chain is extended by at most; beyond them the passage would have another minimiser
 
-SUFFIX = "route long, before long, x long, p int, y long, q int"
+SUFFIX = "key long, around long, id long, at long"  # at: a and the number of words to b, in one number as there are very many rows
+BITS = 7  # for that number
+STRETCH = f"at >> {BITS} AS a", f"(at >> {BITS}) + (at & {(1 << BITS) - 1}) AS b"
 
 
-def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the kept suffixes of a text, the hash of the words that follow, and that of the words before."""
+def anchors(words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Kept suffixes of a text: hash of the words that follow, hash of all words a passage around may have, their [a, b)."""
     n = len(words)
     if n < LEAST:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     grams = span_hashes(words, np.arange(n - GRAM + 1), np.arange(GRAM, n + 1))
     windows = np.lib.stride_tricks.sliding_window_view(grams, SPAN)
     place = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
     place = place[place + AHEAD <= n]
-    return (place, span_hashes(words, place, place + AHEAD).view(np.int64),
-            span_hashes(words, np.maximum(place - SPAN + 1, 0), place).view(np.int64))
-
-
-def _partners(key: np.ndarray, before: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For rows sorted by key, before and doc: pairs (row, neighbour) with the same key in another document.
-
-    The nearest rows of other documents on both sides are taken, at most two for a row.
-    """
-    n = len(key)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    new = np.ones(n, bool)
-    new[1:] = (key[1:] != key[:-1]) | (before[1:] != before[:-1]) | (doc[1:] != doc[:-1])
-    starts = np.flatnonzero(new)
-    block = np.cumsum(new) - 1
-    row = np.concatenate([np.arange(n), np.arange(n)])
-    at = np.concatenate([starts[block] - 1, np.append(starts[1:], n)[block]])
-    good = (at >= 0) & (at < n) & (key[at % n] == key[row]) & (doc[at % n] != doc[row])
-    return row[good], at[good]
+    a, b = np.maximum(place - SPAN + 1, 0), np.minimum(place + LEAST, n)
+    place, a, b = (x[b - a >= LEAST] for x in (place, a, b))
+    # where the minimiser stands among them is part of what must be equal
+    around = mix(span_hashes(words, a, b) + (place - a).astype(np.uint64))
+    return span_hashes(words, place, place + AHEAD).view(np.int64), around.view(np.int64), a, b
 
 
 def _suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Kept suffixes of a batch. Those with the same words are compared here; one of them goes on to be sorted.
-
-    So a passage that is in a third of all documents has one suffix per batch to sort, not one per document.
-    """
     for batch in batches:
         each = [anchors(word_hashes(t)) for t in batch["text"]]
-        doc = np.repeat(batch["id"].to_numpy(np.int64), [len(a[0]) for a in each])
-        if not len(doc):
-            continue
-        place, key, before = (np.concatenate([a[k] for a in each]).astype(np.int64) for k in range(3))
-        order = np.lexsort((place, doc, before, key))
-        doc, place, key, before = doc[order], place[order], key[order], before[order]
-        row, partner = _partners(key, before, doc)
-        first = np.append(True, key[1:] != key[:-1])
-        yield pd.DataFrame({"route": key[first], "before": before[first], "x": doc[first], "p": place[first], "y": None, "q": None})
-        yield pd.DataFrame({
-            "route": span_hashes(doc.view(np.uint64), row, row + 1).view(np.int64),  # any task
-            "before": 0, "x": doc[row], "p": place[row], "y": doc[partner], "q": place[partner]})
-
-
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(x, p, y, q) for sorted suffixes with a neighbour in another document; pairs found before pass through."""
-    rest = None
-    for batch in batches:
-        done = batch["y"].notna()
-        yield batch.loc[done, ["x", "p", "y", "q"]].astype(np.int64)
-        batch = batch[~done]
-        if not len(batch):
-            continue
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = batch["route"].iloc[-1]
-        rest = batch[batch["route"] == last].reset_index(drop=True)
-        yield _paired(batch[batch["route"] != last])
-    if rest is not None:
-        yield _paired(rest)
-
-
-def _paired(rows: pd.DataFrame) -> pd.DataFrame:
-    x, p = rows["x"].to_numpy(np.int64), rows["p"].to_numpy(np.int64)
-    row, partner = _partners(rows["route"].to_numpy(np.int64), rows["before"].to_numpy(np.int64), x)
-    return pd.DataFrame({"x": x[row], "p": p[row], "y": x[partner], "q": p[partner]})
-
-
-def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(x, y, shift, a, b): runs of matches of two documents on one line, sorted rows in."""
-    rest = None
-    for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = batch["x"].iloc[-1] if len(batch) else None
-        rest = batch[batch["x"] == last].reset_index(drop=True)
-        yield _chained(batch[batch["x"] != last])
-    if rest is not None:
-        yield _chained(rest)
-
-
-def _chained(rows: pd.DataFrame) -> pd.DataFrame:
-    x, y, shift, p = (rows[c].to_numpy(np.int64) for c in ("x", "y", "shift", "p"))
-    if not len(x):
-        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("x", "y", "shift", "a", "b")} | {"open": np.zeros(0, bool)})
-    new = np.ones(len(x), bool)
-    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (shift[1:] != shift[:-1]) | (p[1:] > p[:-1] + AHEAD)
-    starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(x)) - 1
-    x, y, shift, a, b = x[starts], y[starts], shift[starts], p[starts], p[ends] + AHEAD
-    # ends that lie well inside another chain of the document can't change what is covered
-    far = (np.cumsum(np.append(False, x[1:] != x[:-1])).astype(np.int64)) << 40
-    order = np.argsort(far + a, kind="stable")
-    begin, reach = (far + a)[order], np.maximum.accumulate((far + b)[order])
-    until = lambda at: np.where((n := np.searchsorted(begin, at, side="right")) > 0, reach[n - 1], -1)
-    inside = (until(far + a - LEFT) >= far + a) & (until(far + b) >= far + b + RIGHT)
-    return pd.DataFrame({"x": x, "y": y, "shift": shift, "a": a, "b": b, "open": ~inside | (b - a < LEAST)})
-
-
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What stands before (nearest first) and after each wanted stretch, as hashes of words."""
-    for batch in batches:
-        out = []
-        for text, wanted in zip(batch["text"], batch["wanted"]):
-            words = (word_hashes(text) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            for w in wanted:
-                out.append((w["chain"], w["role"], w["x"], w["a"], w["b"], words[max(0, w["a"] - LEFT): w["a"]][::-1], words[w["b"]: w["b"] + RIGHT]))
-        yield pd.DataFrame(out, columns=["chain", "role", "x", "a", "b", "left", "right"])
-
+        ids = np.repeat(batch["id"].to_numpy(np.int64), [len(x[0]) for x in each])
+        if len(ids):
+            key, around, a, b = (np.concatenate([x[k] for x in each]) for k in range(4))
+            yield pd.DataFrame({"key": key, "around": around, "id": ids, "at": (a << BITS) + b - a})
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    n = min(len(a), len(b))
-    unequal = np.flatnonzero(np.asarray(a[:n]) != np.asarray(b[:n]))
-    return int(unequal[0]) if len(unequal) else n
 
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(passage, id, a, low, high): hash of each passage of 50 words in the wanted stretches, and keys that have it.
 
-def _extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Passages that are only there to be found by others have no place a.
+    """
     for batch in batches:
         out = []
-        for both in batch["both"]:
-            sides = {r["role"]: r for r in both}  # of repeated rows any
-            if len(sides) == 2:
-                mine, other = sides[0], sides[1]
-                out.append((mine["x"], mine["a"] - _common(mine["left"], other["left"]), mine["b"] + _common(mine["right"], other["right"])))
-        yield pd.DataFrame(out, columns=["x", "a", "b"])
+        for id_, text, wanted in zip(batch["id"], batch["text"], batch["wanted"]):
+            words = word_hashes(text)
+            last = len(words) - LEAST
+            asks = np.zeros(last + 2 if last >= 0 else 1, np.int64)
+            for w in wanted:
+                if w["asks"] and w["a"] <= last:
+                    asks[w["a"]] += 1
+                    asks[min(w["b"] - LEAST, last) + 1] -= 1
+                elif w["a"] <= last:
+                    a = np.arange(w["a"], min(w["b"] - LEAST, last) + 1)
+                    out.append((a, np.full(len(a), -1), id_, w["low"], w["high"], words))
+            a = np.flatnonzero(np.cumsum(asks)[:-1] > 0)
+            out.append((a, a, id_, id_, id_, words))
+        out = [o for o in out if len(o[0])]
+        if out:
+            sizes = [len(o[0]) for o in out]
+            yield pd.DataFrame({
+                "passage": np.concatenate([span_hashes(o[5], o[0], o[0] + LEAST) for o in out]).view(np.int64),
+                "a": np.concatenate([o[1] for o in out])} | {c: np.repeat([o[k] for o in out], sizes) for c, k in (("id", 2), ("low", 3), ("high", 4))})
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,30 +103,35 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """(key, spans) for each document that shares a passage of 50 words or more with another one.
 
     spans are [start, end) in words of the whole text, lower-cased runs without white space; overlapping and touching
-    ones are joined. Both sides of a match are told. Null, empty and shorter texts share nothing, nor does a passage
-    that one document repeats by itself. Rows with a null key are not compared, and rows with equal keys never count
-    as different documents. Of rows with equal keys, which should have equal texts, one is extended. Words are compared by hashes.
+    ones are joined. Every occurrence of a shared passage is told. Null, empty and shorter texts share nothing, nor does a passage
+    that one document repeats by itself. Rows with a null key are not compared, and rows with equal keys, which should
+    have equal texts, never count as different documents. Words and passages are compared by hashes of 64 bits.
     """
     kind = docs.schema[key].dataType.simpleString()
     if kind not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("keys are whole numbers")
     rows = docs.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("text")).where("id IS NOT NULL")
-    suffixes = rows.mapInPandas(_suffixes, SUFFIX).repartition("route").sortWithinPartitions("route", "before", "x", "p")
-    pairs = suffixes.mapInPandas(_neighbours, "x long, p long, y long, q long")
-    lines = pairs.withColumn("shift", F.expr("q - p")).select("x", "y", "shift", "p").repartition("x")
-    chains = lines.sortWithinPartitions("x", "y", "shift", "p").mapInPandas(
-        _chains, "x long, y long, shift long, a long, b long, open boolean")
-    chains = kept(chains.withColumn("chain", F.monotonically_increasing_id()))
-    ends = F.explode(F.array(F.struct(F.col("x").alias("id"), F.lit(0).alias("role"), "a", "b"), F.struct(
-        F.col("y").alias("id"), F.lit(1).alias("role"), F.expr("a + shift").alias("a"), F.expr("b + shift").alias("b"))))
-    wanted = chains.where("open").select("chain", "x", ends.alias("e")).groupBy("e.id").agg(
-        F.collect_list(F.struct("chain", "x", "e.role", "e.a", "e.b")).alias("wanted"))
-    seen = rows.join(wanted, "id").select("text", "wanted").mapInPandas(
-        _contexts, "chain long, role int, x long, a long, b long, left array<int>, right array<int>")
-    both = seen.groupBy("chain").agg(F.collect_list(F.struct("role", "x", "a", "b", "left", "right")).alias("both"))
-    spans = both.select("both").mapInPandas(_extended, "x long, a long, b long").unionByName(chains.where("NOT open").select("x", "a", "b"))
-    spans = spans.where(f"b - a >= {LEAST}")
-    merged = spans.distinct().groupBy("x").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")).mapInPandas(
+    suffixes = rows.mapInPandas(_suffixes, SUFFIX)  # made twice, which takes less than to keep them
+    # the least of a grouped column is dealt out anew for the join, which Spark then splits where a key has very many rows
+    keys = suffixes.groupBy("key").agg(F.min("key").alias("shared"), F.min("id").alias("low"), F.max("id").alias("high"))
+    met = kept(suffixes.join(keys.where("low < high").select("shared"), F.col("key") == F.col("shared")).drop("shared"))
+    groups = kept(met.groupBy("around").agg(
+        F.min("around").alias("same"), F.min("key").alias("group_key"), F.min(F.struct("id", "at")).alias("first"),
+        F.max("id").alias("high")).select("same", "group_key", "first", "high", (F.col("first.id") < F.col("high")).alias("whole")))
+    told = met.join(groups.select("same", "whole"), F.col("around") == F.col("same"))
+    told = kept(told.select("id", "at", "whole"))
+    # stretches that have no equal ask; one of each group of equal stretches with the same 31 words answers
+    asking = groups.where("NOT whole").groupBy("group_key").agg(F.min("group_key").alias("asked"))
+    answers = groups.where("whole").join(asking.select("asked"), F.col("group_key") == F.col("asked")).select(
+        "first.id", "first.at", F.col("first.id").alias("low"), "high", F.lit(False).alias("asks"))
+    asks = told.where("NOT whole").select("id", "at", F.col("id").alias("low"), F.col("id").alias("high"), F.lit(True).alias("asks"))
+    wanted = asks.unionByName(answers).selectExpr("id", *STRETCH, "low", "high", "asks").groupBy("id").agg(F.collect_list(F.struct("a", "b", "low", "high", "asks")).alias("wanted"))
+    passages = kept(rows.join(wanted, "id").mapInPandas(_windows, "passage long, id long, a int, low long, high long"))
+    common = passages.groupBy("passage").agg(F.min("passage").alias("found"), F.min("low").alias("low"), F.max("high").alias("high"))
+    single = passages.where("a >= 0").select("passage", "id", "a").join(
+        common.where("low < high").select("found"), F.col("passage") == F.col("found")).select("id", "a", F.expr(f"a + {LEAST}").alias("b"))
+    spans = told.where("whole").selectExpr("id", *STRETCH).unionByName(single)
+    merged = spans.groupBy(F.col("id").alias("x")).agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")).mapInPandas(
         _merged, "x long, spans array<struct<start:long,end:long>>")
     return merged.select(F.col("x").cast(kind).alias(key), "spans")
 

@@ -14,6 +14,7 @@ import pytest
 
 from pavelake.llm import bpe, components, dartminhash, decontam, embeddings, langid, licenses, passages, secrets
 from pavelake.llm import suffixtree, toxicity
+from pavelake.llm.common import narrow_batches
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, block int, key string, words string, row int"
 WORDS = "ab cd ef gh ij kl mn op qr st uv wx yz ba dc fe hg ji lk nm po rq ts vu xw zy".split()
@@ -208,6 +209,41 @@ def test_passages_equal_brute_force(spark):
     assert passages.repeated(frame(spark, [])).count() == 0
 
 
+def passages_by_force(rows):
+    own, wanted = collections.defaultdict(set), {}
+    texts = [(d, t.lower().split()) for d, t in rows]
+    for d, w in texts:
+        for i in range(len(w) - 49):
+            own[tuple(w[i: i + 50])].add(d)
+    for d, w in texts:
+        spans = []
+        for i in range(len(w) - 49):
+            if len(own[tuple(w[i: i + 50])]) > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 50
+                else:
+                    spans.append([i, i + 50])
+        if spans:
+            wanted[d] = [tuple(s) for s in spans]
+    return wanted
+
+
+def passages_found(docs):
+    return {r.doc_id: [(s.start, s.end) for s in r.spans] for r in passages.repeated(docs).collect()}
+
+
+def test_passages_that_a_document_repeats_meet_a_holder_in_another_batch(spark):
+    own = lambda d, k: " ".join(f"d{d}k{k}w{i}" for i in range(30))
+    rows = []
+    for g in range(12):
+        shared = " ".join(f"g{g}w{i}" for i in range(60 + 15 * g))
+        rows += [(2 * g, " ".join([own(g, 0), shared, own(g, 1), shared, own(g, 2), shared, own(g, 3)])), (2 * g + 1, shared)]
+    wanted = passages_by_force(rows)
+    assert all(len(wanted[2 * g]) == 3 for g in range(12))
+    with narrow_batches(spark, 1):
+        assert passages_found(frame(spark, rows)) == wanted
+
+
 # -- decontamination and licences -----------------------------------------------------------------
 
 
