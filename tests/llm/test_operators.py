@@ -244,6 +244,19 @@ def test_passages_that_a_document_repeats_meet_a_holder_in_another_batch(spark):
         assert passages_found(frame(spark, rows)) == wanted
 
 
+def test_passages_with_few_distinct_endings_and_stretches_that_overlap(spark):
+    rng = random.Random(12)
+    notice = [f"n{i}" for i in range(45)]
+    own = lambda d, n: [f"d{d}w{i}" for i in range(n)]
+    rows = [(d, " ".join(own(d, 7) + notice + [f"e{d % 10}w{i}" for i in range(10)] + own(d, 40)[7:])) for d in range(150)]
+    whole = [f"s{i}" for i in range(160)]
+    for d in range(200, 320):
+        a = rng.randint(0, 90)
+        rows.append((d, " ".join(own(d, 9) + whole[a: a + rng.randint(48, 70)] + own(d, 30)[9:])))
+    with narrow_batches(spark, 7):
+        assert passages_found(frame(spark, rows)) == passages_by_force(rows)
+
+
 # -- decontamination and licences -----------------------------------------------------------------
 
 
