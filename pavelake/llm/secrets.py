@@ -74,19 +74,21 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.sum("repositories").alias("repositories"), F.count("*").alias("owners"))
 
 
-def _live() -> Column:
-    return (F.col("owners") < OWNERS_OF_AN_EXAMPLE) & (F.col("repositories") < REPOSITORIES_OF_AN_EXAMPLE)
+def _live(by_owners: bool) -> Column:
+    few = F.col("owners") < OWNERS_OF_AN_EXAMPLE
+    return few if by_owners else few & (F.col("repositories") < REPOSITORIES_OF_AN_EXAMPLE)
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", by_owners: bool = False) -> DataFrame:
     """One row per document: (key, spans, live), spans ordered, live being the spans whose value looks live.
 
     A null text is empty and has no span. Key headers carry no value and are always live. Equal keys are kept as
-    separate rows with the same judgement of each value; a null key is a repository of its own.
+    separate rows with the same judgement of each value; a null key is a repository of its own. by_owners: a value of
+    few owners looks live in however many repositories.
     """
     found = kept(candidates(docs, key, text, owner).withColumn("row", F.monotonically_increasing_id()))
     each = found.select("row", F.explode("spans").alias("s"))
-    examples = ownership(found).where(~_live()).select("value")
+    examples = ownership(found).where(~_live(by_owners)).select("value")
     # a value in very many rows meets one row on the other side, a join that Spark splits when it is skewed
     hits = each.join(examples.withColumnRenamed("value", "known"), F.col("s.value") == F.col("known"), "left")
     live = hits.where(F.col("known").isNull() | (F.col("s.kind") >= BASE_KINDS)).groupBy("row").agg(
@@ -121,10 +123,10 @@ def masked(text: Column, live: Column, instead: str = "[secret]") -> Column:
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
     """The documents with live-looking secrets replaced; all columns stay, n_chars follows the text if present.
 
-    Documents are matched by key, which must be unique; one with a null key is scanned but left as it is.
+    A value of few owners is replaced in however many documents it is. Documents are matched by key, which must be unique; one with a null key is scanned but left as it is.
     """
     columns = docs.columns
-    live = scan(docs, key, text, owner).where(F.size("live") > 0).select(F.col(key).alias("__key"), F.col("live").alias("__live"))
+    live = scan(docs, key, text, owner, by_owners=True).where(F.size("live") > 0).select(F.col(key).alias("__key"), F.col("live").alias("__live"))
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     joined = docs.join(live, docs[key] == F.col("__key"), "left")
     new = masked(F.col(text), F.coalesce("__live", nothing))

@@ -316,6 +316,14 @@ def test_secrets(spark):
     assert secrets.scan(frame(spark, [])).count() == 0 and secrets.mask(frame(spark, [])).count() == 0
 
 
+def test_a_secret_that_one_owner_copies_is_masked(spark):
+    own, example = "sk_live_0a1b2c3d4e5f", "EXAMPLEKEY0123456"
+    rows = [(d, f"token={own} end", None, "hot") for d in range(25)] + [(30 + d, f"token={example} end", None, f"s{d % 3}") for d in range(25)]
+    masked = {r.doc_id: r.text for r in secrets.mask(frame(spark, rows)).collect()}
+    assert all(masked[d] == "[secret] end" for d in range(25))
+    assert all(masked[30 + d] == f"token={example} end" for d in range(25))
+
+
 # -- learned operators ----------------------------------------------------------------------------
 
 
