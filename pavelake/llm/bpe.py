@@ -216,6 +216,45 @@ def _joined(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
     return _gather(values, begins[ids], begins[ids + 1] - begins[ids]).tobytes()
 
 
+def encoder(path: str = VOCABULARY):
+    """A function from texts to their ids for use inside one task: each distinct word is encoded once and remembered.
+
+    The ids are those of the tokenizer without special tokens around the text.
+    """
+    made, known = _tokenizer(path), {}
+    marker, marker_id = _marker(path)
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        strange = set()
+        for codes, starts, ends, rows, joined in _strides(texts, marker):
+            hashes, at, word = np.unique(span_hashes(codes, starts, ends), return_index=True, return_inverse=True)
+            words = [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            if len(known) > WORDS_KEPT:
+                known.clear()
+            new = [w for w in words if w not in known]
+            for w, e in zip(new, made.encode_batch_fast(new, add_special_tokens=False)):
+                known[w] = np.array(e.ids, np.int32)
+            found = [known[w] for w in words]
+            sizes = np.array([len(f) for f in found], np.int64)
+            size = sizes[word]
+            flat = _gather(np.concatenate(found), (np.cumsum(sizes) - sizes)[word], size) if found else np.zeros(0, np.int32)
+            passed = np.concatenate([[0], np.cumsum(size)])
+            for row, a, b in rows:
+                i, j = np.searchsorted(starts, [a, b])
+                if out[row]:
+                    out[row].append(np.array([marker_id], np.int32))
+                out[row].append(flat[passed[i]: passed[j]])
+            unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
+            strange.update(rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist())
+        whole = [np.concatenate(o) for o in out]
+        for row in strange:  # characters that the split does not know are left to the tokenizer
+            whole[row] = np.array(made.encode(texts[row], add_special_tokens=False).ids, np.int32)
+        return whole
+
+    return encode
+
+
 def _place_ids(path: str, buckets: int, decoded: bool = False):
     def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
         marker, marker_id = _marker(path)

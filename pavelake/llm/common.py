@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000  # a side is broadcast only when it was counted and has no more rows than this
@@ -73,3 +73,21 @@ def pieces(frame: DataFrame, column: str, each: int) -> int:
     """How many pieces of about `each` bytes the column makes: at least one, growing with the data."""
     total = frame.agg(F.sum(F.octet_length(column)).alias("n")).first()["n"] or 0
     return max(1, -(-total // each))
+
+
+def in_order(frame: DataFrame, *order: str) -> DataFrame:
+    """The rows in a global order, nulls first, as written by one sort: with `part`, the range a row fell into, and
+    `row`, its place there. No range is gathered anywhere; equal rows may stand in any order."""
+    at = F.monotonically_increasing_id()
+    rows = kept(frame.orderBy(*order).withColumn("_at", at))
+    return rows.withColumns({"part": F.shiftright("_at", 33), "row": F.col("_at").bitwiseAND((1 << 33) - 1)}).drop("_at")
+
+
+def ranked(frame: DataFrame, *order: str) -> DataFrame:
+    """The rows with `pos`, their place from 0 in the global order. What is summed and broadcast for it has one row a
+    range, which the number of partitions bounds."""
+    rows = in_order(frame, *order)
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(F.broadcast(starts), "part").withColumn("pos", F.col("start") + F.col("row")).drop("part", "row", "start")

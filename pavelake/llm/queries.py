@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, licenses, passages, secrets, suffixtree, toxicity
-from pavelake.llm.common import held, table
+from pavelake.llm import bpe, dartminhash, decontam, embeddings, langid, licenses, merkle, packing, passages, prefixes, secrets
+from pavelake.llm import suffixtree, toxicity
+from pavelake.llm.common import fold, held, table
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +54,26 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixtree.score(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = merkle.manifest(table(spark, sf_dir, "documents"), tampered=fold("doc_id", 2) == 0, text=F.translate("text", "\n", ""))
+    return merkle.verified(proofs)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(prefixes.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_minhash_dedup, op2_license_scan, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup,
+           op7_language_id, op8_repeated_passages, op9_secret_scan, op10_lm_scores, op11_merkle_manifest,
+           op12_conversation_trie, op13_packing)
+
+
 def registered() -> dict:
-    return {f.__name__: f for f in (op1_minhash_dedup, op2_license_scan, op3_bpe_roundtrip, op4_toxicity, op5_decontamination, op6_embedding_dedup, op7_language_id, op8_repeated_passages, op9_secret_scan, op10_lm_scores)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def _secret_sql() -> str:
@@ -145,5 +164,70 @@ def _license_sql() -> str:
     GROUP BY doc_id, unit, place, dice"""
 
 
+def _crc32_sql(value: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit, as DuckDB has no function for it."""
+    codes = f"list_transform(string_split({value}, ''), lambda x: ascii(x)::BIGINT)"
+    bits = "list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda b, z: xor(b >> 1, (b & 1) * 3988292384), xor(a, c))"
+    return f"xor(list_reduce({codes}, lambda a, c: {bits}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _leaf_sql(text: str) -> str:
+    def entered(value: str) -> str:
+        return f"coalesce(octet_length(encode(({value})::VARCHAR)) || ':' || ({value})::VARCHAR, '-')"
+
+    return "sha256(" + " || ".join(entered(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE_SQL = f"""
+    WITH RECURSIVE r AS (SELECT row_number() OVER () AS rid, *, {_leaf_sql('text')} AS leaf,
+        CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql('text')} END AS changed FROM documents),
+    p AS (SELECT rid, doc_id, leaf, changed, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+            row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos,
+            count(*) OVER (PARTITION BY source) AS n FROM r),
+    t AS (SELECT 0 AS level, s, pos, n, leaf AS digest FROM p
+          UNION ALL SELECT level + 1, s, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM t WHERE n > 1
+          GROUP BY level, s, pos // 3, n),
+    u AS (SELECT 0 AS level, s AS pos, count(*) OVER () AS n, digest FROM t WHERE n = 1
+          UNION ALL SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM u WHERE n > 1
+          GROUP BY level, pos // 3, n),
+    steps AS (SELECT rid, t.level AS k, string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < p.pos // (3 ** t.level)::BIGINT) AS lft,
+            string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > p.pos // (3 ** t.level)::BIGINT) AS rgt
+          FROM p JOIN t ON t.s = p.s AND t.n > 1 AND t.pos // 3 = p.pos // (3 ** (t.level + 1))::BIGINT GROUP BY ALL
+          UNION ALL SELECT rid, 100 + u.level, string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos < p.s // (3 ** u.level)::BIGINT),
+            string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos > p.s // (3 ** u.level)::BIGINT)
+          FROM p JOIN u ON u.n > 1 AND u.pos // 3 = p.s // (3 ** (u.level + 1))::BIGINT GROUP BY ALL),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY k) AS i FROM steps),
+    f AS (SELECT rid, 0::BIGINT AS i, changed AS digest FROM p
+          UNION ALL SELECT f.rid, n.i, sha256(coalesce(lft, '') || digest || coalesce(rgt, '')) FROM f JOIN numbered n ON n.rid = f.rid AND n.i = f.i + 1),
+    e AS (SELECT rid, arg_max(digest, i) AS folded_root FROM f GROUP BY rid),
+    q AS (SELECT rid, string_agg(coalesce(lft, '') || coalesce(rgt, ''), '' ORDER BY i) AS proof FROM numbered GROUP BY rid)
+    SELECT doc_id, leaf, b.digest AS subroot, o.digest AS root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root,
+           folded_root = o.digest AS verified
+    FROM p JOIN e USING (rid) LEFT JOIN q USING (rid) JOIN t b ON b.n = 1 AND b.s = p.s JOIN u o ON o.n = 1"""
+
+
+TRIE_SQL = f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    o AS (SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST,
+            sha256(octet_length(encode(role)) || ':' || role || text)) AS turns FROM t GROUP BY conv_id),
+    h AS (SELECT *, ({_crc32_sql('conv_id::VARCHAR')} % 4) AS h FROM o),
+    b AS (SELECT h.conv_id, coalesce(o.turns[:h.h], []) || h.turns[h.h + 1:] AS turns
+          FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % 20),
+    m AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM b),
+    n AS (SELECT depth, turns[:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256
+          FROM m GROUP BY depth, turns[:depth]),
+    w AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(list_filter(string_split_regex(prefix[depth].text,
+            '[\x20\x09-\x0D]+'), lambda x: x <> '')) END AS tokens FROM n),
+    c AS (SELECT depth - 1 AS depth, prefix[:depth - 1] AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+    k AS (SELECT w.*, coalesce(n_children, 0) AS n_children FROM w LEFT JOIN c ON c.depth = w.depth AND c.prefix = w.prefix),
+    a AS (SELECT prefix[:d] AS prefix, d AS depth, sum(tokens)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM k) GROUP BY prefix[:d], d)
+    SELECT k.conv_id, k.depth, u.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, k.ends_sha256
+    FROM k JOIN a ON a.depth = k.depth AND a.prefix = k.prefix
+    LEFT JOIN k u ON u.depth = k.depth - 1 AND u.prefix = k.prefix[:k.depth - 1]"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_license_scan": _license_sql(), "op5_decontamination": DECONTAMINATION_SQL, "op6_embedding_dedup": EMBEDDING_SQL, "op9_secret_scan": _secret_sql()}
+    return {"op2_license_scan": _license_sql(), "op5_decontamination": DECONTAMINATION_SQL, "op6_embedding_dedup": EMBEDDING_SQL,
+            "op9_secret_scan": _secret_sql(), "op11_merkle_manifest": MERKLE_SQL, "op12_conversation_trie": TRIE_SQL}
