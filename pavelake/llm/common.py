@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,3 +92,9 @@ def ranked(frame: DataFrame, *order: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return rows.join(F.broadcast(starts), "part").withColumn("pos", F.col("start") + F.col("row")).drop("part", "row", "start")
+
+
+def together(frames: list[DataFrame]) -> DataFrame:
+    """All rows of frames with the same columns, in no more partitions than a shuffle would make."""
+    limit = int(frames[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reduce(DataFrame.unionByName, frames).coalesce(limit)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from pavelake.llm.common import in_order, kept, ranked
+from pavelake.llm.common import in_order, kept, ranked, together
 
 ARITY = 3
 LEVELS = 3  # levels that one shuffle makes
@@ -128,11 +128,13 @@ def _to_root(nodes: DataFrame, depth: int, root: Column) -> DataFrame:
         above = nodes.where((F.col("tree") == TOP) | (F.col("level") >= far)).select(
             F.struct("tree", "level", "pos").alias("up"), F.col("path").alias("further"), F.col("up").alias("next"))
         rows = sum(c["count"] for c in counts if c.top or c.level >= far)
+        moved = {"path": F.concat("path", F.coalesce("further", F.array())), "up": F.coalesce("next", "up")}
         if rows * (STEP_BYTES * far + 100) <= BROADCAST_BYTES:
-            above = F.broadcast(above)
-        there = nodes.where(F.col("up") == root)
-        nodes = nodes.where(F.col("up") != root).join(above, "up").withColumns(
-            {"up": F.col("next"), "path": F.concat("path", "further")}).select(*nodes.columns).unionByName(there)
+            nodes = nodes.join(F.broadcast(above), "up", "left").withColumns(moved).select(*nodes.columns)
+        else:  # nodes that are there would all meet under the key of the root
+            there = nodes.where(F.col("up") == root)
+            moving = nodes.where(F.col("up") != root).join(above, "up").withColumns(moved).select(*nodes.columns)
+            nodes = together([moving, there])
         nodes = kept(nodes)
     return nodes
 
@@ -178,7 +180,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
     nodes = [node(lone, F.array().cast("array<binary>"), subroot)]
     nodes += [node(m, step, F.when(F.col("level") + 1 == F.col("h"), subroot).otherwise(parent)) for m in made]
     nodes += [node(m, step, parent) for m in over]
-    paths = _to_root(kept(reduce(DataFrame.unionByName, nodes)), max(tallest, 1) + top, summit)
+    paths = _to_root(kept(reduce(DataFrame.unionByName, nodes).repartition(*here)), max(tallest, 1) + top, summit)
     return paths.where("load IS NOT NULL").select(
         F.col("load.key").alias(key), "load.leaf", "load.changed", "path", F.col("load.h").alias("height"),
         F.lit(end["digest"] if end else None).cast("string").alias("root"))

@@ -112,8 +112,8 @@ def _tokens(path: str, window: int, end: int, ids: bool):
         for batch in batches:
             for run in batches_of(batch["text"].str.len().tolist(), BATCH):
                 part, out = batch.iloc[run.start: run.stop], []
-                for found in encode(part["text"].tolist()):
-                    found = np.append(found, end).astype("<u4")
+                for text in part["text"]:
+                    found = np.append(encode(text), end).astype("<u4")
                     cut = len(found) // window * window
                     windows = found[:cut].reshape(-1, window)
                     out.append((len(found), [zlib.crc32(w) for w in windows], found[cut:].tobytes(), windows.tobytes() if ids else b""))
