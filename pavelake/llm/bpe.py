@@ -7,6 +7,7 @@ Text moves once, compressed, and what moves for words is a block's vocabulary, n
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -25,7 +26,7 @@ from pavelake.llm.arrays import span_hashes
 from pavelake.llm.common import pieces, text_or_empty
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-BLOCK_BYTES = 16 << 20  # text of one block; a task holds a few times as much
+BLOCK_BYTES = 8 << 20  # text of one block; a task holds a few times as much
 STRIDE = 1 << 18  # characters that are split at a time
 WORDS_KEPT = 200_000  # words a task remembers the ids of before it starts afresh
 LONG_GAP = re.compile(r"\s{10000}")
@@ -260,60 +261,68 @@ def encoder(path: str = VOCABULARY):
     return encode
 
 
-def _place_ids(path: str, buckets: int, decoded: bool = False):
+@lru_cache(1)
+def _decimals(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each id below size in decimals and a comma, as a table like that of the pieces."""
+    out = [b"%d," % i for i in range(size)]
+    return np.frombuffer(b"".join(out), np.uint8), np.cumsum([0, *map(len, out)])
+
+
+def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
+    """Ids, decoded texts or their digests, of the texts of a block. Words are told twice, stride by stride: first for
+    the order in which the block listed them, then to place their ids; so no more than a stride's words are held."""
+    def finish(text: str, row: np.ndarray, sure: bool) -> tuple:
+        table = pieces_of(path)
+        whole = _joined(row, table)
+        # the tokenizer takes texts with unknown characters, and any that a clash of word hashes would spoil
+        if not sure or whole != text.encode("utf-8", "surrogatepass"):
+            row = np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, np.int32)
+            whole = _joined(row, table)
+        given = {"ids": lambda: row, "decoded": lambda: whole.decode("utf-8", "replace"), "n_tokens": lambda: len(row)}
+        given["ids_sha256"] = lambda: hashlib.sha256(_joined(row, _decimals(len(table[1])))[:-1]).hexdigest()
+        given["decoded_sha256"] = lambda: hashlib.sha256(whole.decode("utf-8", "replace").encode()).hexdigest()
+        return tuple(given[w]() for w in wanted)
+
     def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
         marker, marker_id = _marker(path)
         encoded = encoded.sort_values("bucket")
         sizes = np.frombuffer(b"".join(map(_unpacked, encoded["sizes"])), np.int32).astype(np.int64)
         ids = np.frombuffer(b"".join(map(_unpacked, encoded["ids"])), np.int32)
         begins = np.cumsum(sizes) - sizes
-        texts, strides, found, strange = [], [], [], set()
-        for part in _texts(block):
-            for codes, starts, ends, rows, _ in _strides(part, marker):
-                hashes = span_hashes(codes, starts, ends)
-                rows = [(len(texts) + row, a, b) for row, a, b in rows]
-                strides.append((starts.astype(np.int32), hashes, rows))
-                found.append(np.unique(hashes))
-                unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
-                strange.update(rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist())
-            texts += part
-        listed, _ = _distinct(np.concatenate(found) if found else np.zeros(0, np.uint64), buckets)
+        found = np.zeros(0, np.uint64)
+        for codes, starts, ends, _, _ in (s for texts in _texts(block) for s in _strides(texts, marker)):
+            found = np.union1d(found, span_hashes(codes, starts, ends))
+        listed, _ = _distinct(found, buckets)
         order = np.argsort(listed)
-        listed = listed[order]
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        for starts, hashes, rows in strides:
-            word = order[np.searchsorted(listed, hashes)] if len(listed) else np.zeros(0, np.int64)
-            size = sizes[word]
-            flat = _gather(ids, begins[word], size)
-            passed = np.concatenate([[0], np.cumsum(size)])
-            for row, a, b in rows:
-                i, j = np.searchsorted(starts, [a, b])
-                if out[row]:
-                    out[row].append(np.array([marker_id], ids.dtype))
-                out[row].append(flat[passed[i]: passed[j]])
-        table, made = pieces_of(path), _tokenizer(path)
-        for number, text in enumerate(texts):
-            row = np.concatenate(out[number])
-            whole = _joined(row, table)
-            # the tokenizer takes texts with unknown characters, and any that a clash of word hashes would spoil
-            if number in strange or whole != text.encode("utf-8", "surrogatepass"):
-                row = np.array(made.encode(text, add_special_tokens=False).ids, np.int32)
-                whole = _joined(row, table)
-            out[number] = row
-            texts[number] = whole.decode("utf-8", "replace") if decoded else None
-        return pd.DataFrame({"key": [k for keys in block["keys"] for k in keys], "ids": out, "decoded": texts})
+        listed, done = listed[order], []
+        for texts in _texts(block):
+            out: list[list[np.ndarray]] = [[] for _ in texts]
+            first = 0
+            for codes, starts, ends, rows, _ in _strides(texts, marker):
+                word = order[np.searchsorted(listed, span_hashes(codes, starts, ends))] if len(listed) else np.zeros(0, np.int64)
+                size = sizes[word]
+                flat = _gather(ids, begins[word], size)
+                passed = np.concatenate([[0], np.cumsum(size)])
+                for row, a, b in rows:
+                    i, j = np.searchsorted(starts, [a, b])
+                    if out[row]:
+                        out[row].append(np.array([marker_id], ids.dtype))
+                    out[row].append(flat[passed[i]: passed[j]])
+                unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
+                strange = {rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist()}
+                for row in range(first, rows[-1][0] + 1):  # a stride ends with a whole text
+                    done.append(finish(texts[row], np.concatenate(out[row]), row not in strange))
+                    out[row] = []
+                first = rows[-1][0] + 1
+        return pd.DataFrame(done, columns=list(wanted)).assign(key=[k for keys in block["keys"] for k in keys])
 
     return place
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, decoded: bool = False) -> DataFrame:
-    """(key, ids) for every row: the ids that the tokenizer gives without special tokens around the text.
+KINDS = {"ids": "array<int>", "decoded": "string", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
 
-    With decoded, the text that the ids decode to is a further column; the round trip then needs no second pass.
 
-    A null or empty text has no ids. The string of the added token is that token, as the tokenizer reads it.
-    Equal and null keys stay separate rows. Other columns are not looked at.
-    """
+def _encoded(docs: DataFrame, key: str, text: str, path: str, wanted: tuple[str, ...]) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"))
     blocks = pieces(rows, "text", BLOCK_BYTES)
@@ -323,8 +332,19 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str =
     words = dealt.groupBy("block").applyInPandas(_list_words(path, buckets), "block int, bucket int, sizes binary, words binary")
     encoded = words.repartition("bucket").mapInPandas(_encode_words(path), "block int, bucket int, sizes binary, ids binary")
     placed = dealt.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
-        _place_ids(path, buckets, decoded), f"key {kind}, ids array<int>, decoded string")
-    return placed.select(F.col("key").alias(key), "ids", *["decoded"] * decoded)
+        _place_ids(path, buckets, wanted), ", ".join([f"key {kind}", *(f"{w} {KINDS[w]}" for w in wanted)]))
+    return placed.select(F.col("key").alias(key), *wanted)
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, decoded: bool = False) -> DataFrame:
+    """(key, ids) for every row: the ids that the tokenizer gives without special tokens around the text.
+
+    With decoded, the text that the ids decode to is a further column; the round trip then needs no second pass.
+
+    A null or empty text has no ids. The string of the added token is that token, as the tokenizer reads it.
+    Equal and null keys stay separate rows. Other columns are not looked at.
+    """
+    return _encoded(docs, key, text, path, ("ids", "decoded") if decoded else ("ids",))
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str = VOCABULARY) -> DataFrame:
@@ -347,7 +367,4 @@ def decode(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", path: str
 
 def digest(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = VOCABULARY, ids: bool = False) -> DataFrame:
     """Counts and digests of ids and decoded texts, with the ids if they are wanted."""
-    return encode(docs, key, text, path, decoded=True).select(
-        key, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * ids)
+    return _encoded(docs, key, text, path, ("n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids))

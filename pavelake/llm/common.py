@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
@@ -31,6 +32,15 @@ def kept(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The rows as a Parquet table of their own in the shared folder, read again."""
+    spark = frame.sparkSession
+    ready(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @contextmanager
 def narrow_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
     """Fewer rows per Arrow batch for the jobs run inside, where a row is a whole text."""

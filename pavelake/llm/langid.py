@@ -143,7 +143,7 @@ class Parser:
         return langs, scores, rates
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(samples))
 
@@ -172,26 +172,24 @@ def samples(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return tuple((name, " ".join(texts)) for name, texts in sorted(gathered.items()))
 
 
-def identify(docs: DataFrame, learned: tuple[tuple[str, str], ...], text: str = "text") -> DataFrame:
-    """All columns of docs and lang_pred, score, phrase_rate.
+def identify(docs: DataFrame, learned: tuple[tuple[str, str], ...], text: str = "text", into: str = "language") -> DataFrame:
+    """All columns of docs and the verdict, a struct of lang_pred, score and phrase_rate under the name given.
 
     Whole texts are read. Null texts and texts without a letter, and all texts if nothing was learned, are `und`
     with score 0 and rate 1; ties go to the first language by name.
     """
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = _parser(learned)
         for batch in batches:
-            batch["__lang"], batch["__score"], batch["__rate"] = parser.predict(
-                [t if isinstance(t, str) else None for t in batch[text].tolist()])
-            yield batch
+            langs, scores, rates = parser.predict([t if isinstance(t, str) else None for t in batch.tolist()])
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "phrase_rate": rates})
 
-    columns = docs.columns
-    schema = docs.withColumns({"__lang": F.lit(""), "__score": F.lit(0.0), "__rate": F.lit(0.0)}).schema
-    found = docs.mapInPandas(predict, schema)
-    return found.select(*[F.col(c) for c in columns if c not in ("lang_pred", "score", "phrase_rate")],
-                        F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__rate").alias("phrase_rate"))
+    # only the text goes through Python, and only the verdict comes back
+    # (nondeterministic only in name: the verdict is then made once, whatever filters follow)
+    judge = F.pandas_udf(predict, "lang_pred string, score double, phrase_rate double").asNondeterministic()
+    return docs.withColumn(into, judge(F.col(text).cast("string")))
 
 
-def accepted() -> "F.Column":
+def accepted(verdict: str = "language") -> "F.Column":
     """Is the text, judged by identify(), in one of the languages?"""
-    return (F.col("lang_pred") != UNKNOWN) & (F.col("phrase_rate") < TOO_MANY)
+    return (F.col(f"{verdict}.lang_pred") != UNKNOWN) & (F.col(f"{verdict}.phrase_rate") < TOO_MANY)

@@ -1,9 +1,10 @@
 """A manifest of a dataset: a Merkle tree over its rows, and the proof of every row.
 
 The rows of a source are the leaves of its tree, three nodes to a parent; the roots of the sources are the leaves of
-one more tree. Trees grow by joining runs of 27 nodes, so one shuffle makes three levels. Proofs come by pointer
-jumping: every node holds the siblings on its way to an ancestor, first its parent; a self-join with the ancestors
-doubles the distance and appends their siblings, until every leaf points to the root.
+one more tree. Trees grow by joining runs of 81 nodes, so one shuffle makes four levels, and a node of a run knows its
+siblings on the way out of the run. Proofs come by pointer jumping: a node holds that segment of siblings and points to
+the ancestor it leads to, which is a node of the next run; a self-join with the ancestors doubles the distance and
+appends their segments, until every leaf points to the root.
 
 Null values have an encoding of their own, so every row is a leaf: rows without a key come first in their source, rows
 without a source form the first source. Repeated rows are equal leaves side by side; rows that share a key are ordered
@@ -21,7 +22,7 @@ from pyspark.sql.types import DataType
 from pavelake.llm.common import in_order, kept, ranked, together
 
 ARITY = 3
-LEVELS = 3  # levels that one shuffle makes
+LEVELS = 4  # levels that one shuffle makes, and that a segment covers at first
 RUN = ARITY**LEVELS
 TOP = -1  # number of the tree over the sources; the trees of the sources are numbered from 0
 DEEPEST = 39  # 3**39 rows are the most that a long can count
@@ -60,26 +61,24 @@ def _siblings(nodes: Column, i: Column) -> Column:
     return F.unhex(F.concat(F.lit("0"), mine.cast("string"), F.array_join(others, "")))
 
 
-def _steps(k: int, kind: DataType) -> Column:
-    """(pos, step, load) of the nodes k levels above those of a group."""
-    nodes = F.col(f"d{k}")
-    first = F.col("run") * (RUN // ARITY**k)
-
+def _segments(level: int) -> Column:
+    """(pos, path, load) of the nodes of a run: path has a step for each level up to the next run's, or the root."""
     def one(_: Column, i: Column) -> Column:
-        load = F.lit(None).cast(kind) if k else F.col("n")[i]["load"]
-        return F.struct((first + i).alias("pos"), _siblings(nodes, i).alias("step"), load.alias("load"))
+        steps = F.array(*(_siblings(F.col(f"d{k}"), F.floor(i / ARITY**k).cast("int")) for k in range(LEVELS)))
+        path = F.slice(steps, F.lit(1), F.least(F.lit(LEVELS), F.col("h") - level))
+        return F.struct((F.col("run") * RUN + i).alias("pos"), path.alias("path"), F.col("n")[i]["load"].alias("load"))
 
-    return F.transform(nodes, one)
+    return F.transform("d0", one)
 
 
 def _grown(nodes: DataFrame, top: int) -> tuple[list[DataFrame], DataFrame]:
-    """(nodes below the roots by level, the roots) of every tree, from the nodes of level 0.
+    """(nodes at the foot of each run, the roots) of every tree, from the nodes of level 0.
 
     nodes: (tree, h, pos, digest, load), with h the height of the tree, top the largest, and load what a leaf carries
-    along. No group has over 27 nodes, whatever the size of a tree.
+    along. No group has over 81 nodes, whatever the size of a tree.
     """
     made, roots = [], [nodes.where("h = 0").select("tree", "digest")]
-    kind = nodes.schema["load"].dataType
+    none = F.lit(None).cast(nodes.schema["load"].dataType)
     nodes = nodes.where("h > 0")
     for level in range(0, top, LEVELS):
         groups = nodes.groupBy("tree", "h", F.floor(F.col("pos") / RUN).alias("run")).agg(
@@ -88,13 +87,11 @@ def _grown(nodes: DataFrame, top: int) -> tuple[list[DataFrame], DataFrame]:
         for k in range(LEVELS):
             groups = groups.withColumn(f"d{k + 1}", F.when(F.col("h") > level + k, _parents(F.col(f"d{k}"))))
         groups = kept(groups)
-        for k in range(LEVELS):
-            rows = groups.where(F.col("h") > level + k).select("tree", "h", F.lit(level + k).alias("level"), F.inline(_steps(k, kind)))
-            made.append(rows)
+        made.append(groups.select("tree", "h", F.lit(level).alias("level"), F.inline(_segments(level))))
         last = F.coalesce(*(F.when(F.col("h") == level + k, F.col(f"d{k}")[0]) for k in range(1, LEVELS + 1)))
         roots.append(groups.where(F.col("h") <= level + LEVELS).select("tree", last.alias("digest")))
         nodes = groups.where(F.col("h") > level + LEVELS).select(
-            "tree", "h", F.col("run").alias("pos"), F.col(f"d{LEVELS}")[0].alias("digest"), F.lit(None).cast(kind).alias("load"))
+            "tree", "h", F.col("run").alias("pos"), F.col(f"d{LEVELS}")[0].alias("digest"), none.alias("load"))
     return made, reduce(DataFrame.unionByName, roots)
 
 
@@ -116,26 +113,28 @@ def _placed(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return placed.withColumn("pos", F.col("row") + F.col("shift")).drop("part", "row", "s", "p", "shift"), sources
 
 
-def _to_root(nodes: DataFrame, depth: int, root: Column) -> DataFrame:
-    """Double the distance that every node's path covers until all point to the root.
+def _to_root(nodes: DataFrame, hops: int, root: Column) -> DataFrame:
+    """Double the hops, of four levels each, that every node's path covers until all point to the root.
 
-    A node is met as an ancestor 2**k levels up by 3**(2**k) leaves at most, so the ancestors that are too many to be
+    A node is met as an ancestor so many levels up by 3**levels leaves at most, so the ancestors that are too many to be
     broadcast are met by equally many rows each.
     """
-    counts = nodes.groupBy((F.col("tree") == TOP).alias("top"), "level").count().collect()  # two rows a level
-    for k in range(max(0, (depth - 1).bit_length())):
-        far = 1 << k
-        above = nodes.where((F.col("tree") == TOP) | (F.col("level") >= far)).select(
+    nodes = kept(nodes)
+    counts = nodes.groupBy((F.col("tree") == TOP).alias("top"), "level").count().collect()  # a row for each run's level
+    far = 1
+    while far < hops:
+        nodes = kept(nodes) if far > 1 else nodes
+        above = nodes.where((F.col("tree") == TOP) | (F.col("level") >= far * LEVELS)).select(
             F.struct("tree", "level", "pos").alias("up"), F.col("path").alias("further"), F.col("up").alias("next"))
-        rows = sum(c["count"] for c in counts if c.top or c.level >= far)
+        rows = sum(c["count"] for c in counts if c.top or c.level >= far * LEVELS)
         moved = {"path": F.concat("path", F.coalesce("further", F.array())), "up": F.coalesce("next", "up")}
-        if rows * (STEP_BYTES * far + 100) <= BROADCAST_BYTES:
+        if rows * (STEP_BYTES * LEVELS * far + 100) <= BROADCAST_BYTES:
             nodes = nodes.join(F.broadcast(above), "up", "left").withColumns(moved).select(*nodes.columns)
         else:  # nodes that are there would all meet under the key of the root
             there = nodes.where(F.col("up") == root)
             moving = nodes.where(F.col("up") != root).join(above, "up").withColumns(moved).select(*nodes.columns)
             nodes = together([moving, there])
-        nodes = kept(nodes)
+        far *= 2
     return nodes
 
 
@@ -159,7 +158,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
     now = leaf() if tampered is None else F.when(F.coalesce(tampered, F.lit(False)), leaf(text=text)).otherwise(leaf())
     rows = docs.select(F.col(key).alias("key"), F.col("source").cast("string").alias("source"), leaf().alias("leaf"), now.alias("changed"))
     placed, sources = _placed(kept(rows), "key")
-    placed = kept(placed.select("tree", "h", "pos", F.col("leaf").alias("digest"), F.struct("key", "leaf", "changed", "h").alias("load")))
+    raw = [F.unhex("leaf").alias("leaf"), F.when(F.col("changed") != F.col("leaf"), F.unhex("changed")).alias("changed")]
+    placed = kept(placed.select("tree", "h", "pos", F.col("leaf").alias("digest"), F.struct("key", *raw, "h").alias("load")))
     size = sources.agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("h")).first()
     tallest, top = size["h"] or 0, next(k for k in range(DEEPEST + 1) if ARITY**k >= size["n"])
     made, subroots = _grown(placed, tallest)
@@ -167,23 +167,25 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
     over, last = _grown(subroots.select(
         F.lit(TOP).cast("long").alias("tree"), F.lit(top).alias("h"), F.col("tree").alias("pos"), "digest", none.alias("load")), top)
     end = last.first()  # one row, none for an empty table
-    here = ["tree", "level", "pos"]
-    summit = F.struct(F.lit(TOP).cast("long").alias("tree"), F.lit(top).alias("level"), F.lit(0).cast("long").alias("pos"))
-
-    def node(of: DataFrame, path: Column, up: Column) -> DataFrame:
-        return of.select("tree", "level", "pos", "load", path.alias("path"), up.alias("up"))
-
-    subroot = F.struct(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("pos"))
-    parent = F.struct(F.col("tree"), (F.col("level") + 1).alias("level"), F.floor(F.col("pos") / ARITY).alias("pos"))
-    step = F.array("step")
-    lone = placed.where("h = 0").withColumn("level", F.lit(0))
-    nodes = [node(lone, F.array().cast("array<binary>"), subroot)]
-    nodes += [node(m, step, F.when(F.col("level") + 1 == F.col("h"), subroot).otherwise(parent)) for m in made]
-    nodes += [node(m, step, parent) for m in over]
-    paths = _to_root(kept(reduce(DataFrame.unionByName, nodes).repartition(*here)), max(tallest, 1) + top, summit)
-    return paths.where("load IS NOT NULL").select(
-        F.col("load.key").alias(key), "load.leaf", "load.changed", "path", F.col("load.h").alias("height"),
-        F.lit(end["digest"] if end else None).cast("string").alias("root"))
+
+    def address(tree: Column, level: Column, pos: Column) -> Column:
+        return F.struct(tree.cast("long").alias("tree"), level.cast("int").alias("level"), pos.cast("long").alias("pos"))
+
+    subroot = address(F.lit(TOP), F.lit(0), F.col("tree"))
+    next_run = address(F.col("tree"), F.col("level") + LEVELS, F.floor(F.col("pos") / RUN))
+    root = address(F.lit(TOP), F.lit(top), F.lit(0))
+    leaves_run = F.col("level") + LEVELS >= F.col("h")
+    columns = ["tree", "level", "pos", "load", "path", "up"]
+    lone = placed.where("h = 0").withColumns({"level": F.lit(0), "path": F.array().cast("array<binary>"), "up": subroot})
+    nodes = [lone, *(m.withColumn("up", F.when(leaves_run, subroot).otherwise(next_run)) for m in made),
+             *(m.withColumn("up", F.when(leaves_run, root).otherwise(next_run)) for m in over)]
+    nodes = reduce(DataFrame.unionByName, [n.select(*columns) for n in nodes]).repartition("tree", "level", "pos")
+    hops = max(1, -(-tallest // LEVELS)) + -(-top // LEVELS)
+    paths = _to_root(nodes, hops, root).where("load IS NOT NULL")
+    digest = F.lower(F.hex("load.leaf"))
+    return paths.select(
+        F.col("load.key").alias(key), digest.alias("leaf"), F.coalesce(F.lower(F.hex("load.changed")), digest).alias("changed"),
+        "path", F.col("load.h").alias("height"), F.lit(end["digest"] if end else None).cast("string").alias("root"))
 
 
 def verified(proofs: DataFrame, key: str = "doc_id") -> DataFrame:

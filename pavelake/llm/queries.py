@@ -39,7 +39,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.samples(docs))
-    return found.select("doc_id", held("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "phrase_rate")
+    return found.select("doc_id", held("doc_id", 4, 2).alias("held_out"), "language.*")
 
 
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,15 +120,19 @@ def masked(text: Column, live: Column, instead: str = "[secret]") -> Column:
         F.aggregate(live, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))))
 
 
-def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
+def mask(docs: DataFrame, text: str = "text", owner: str = "source") -> DataFrame:
     """The documents with live-looking secrets replaced; all columns stay, n_chars follows the text if present.
 
-    A value of few owners is replaced in however many documents it is. Documents are matched by key, which must be unique; one with a null key is scanned but left as it is.
+    A value of few owners is replaced in however many documents it is. Equal texts hold equal spans, so what is live is
+    told by text and rows meet it by the digest of theirs: rows with null or repeated keys are masked like any other,
+    and repeated rows stay as many as they are.
     """
     columns = docs.columns
-    live = scan(docs, key, text, owner, by_owners=True).where(F.size("live") > 0).select(F.col(key).alias("__key"), F.col("live").alias("__live"))
+    mine = F.sha2(text_or_empty(text), 256)
+    scanned = scan(docs.select(mine.alias("__text"), F.col(text), F.col(owner)), "__text", text, owner, by_owners=True)
+    live = scanned.where(F.size("live") > 0).dropDuplicates(["__text"]).select(F.col("__text").alias("__known"), F.col("live").alias("__live"))
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    joined = docs.join(live, docs[key] == F.col("__key"), "left")
+    joined = docs.join(live, mine == F.col("__known"), "left")
     new = masked(F.col(text), F.coalesce("__live", nothing))
     out = joined.withColumn(text, F.when(F.col(text).isNotNull(), new))
     if "n_chars" in columns:

@@ -317,8 +317,9 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     x, y = features(lexicon, ordered, expected, rows["text"].tolist()), rows["toxic"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         return Model(lexicon, ordered, expected, np.append(np.zeros(FEATURES), -4.0))
-    share = {r["toxic"]: r["n"] for r in labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
-    # classes weigh as they do among all labels
+    share = {r["toxic"]: r["n"] for r in labels.where(
+        outside(key, parts, part) & F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    # classes weigh as they do among all labels that may be learned from
     weight = np.where(y == 1, share[1] / y.sum(), share[0] / (1 - y).sum())
     return Model(lexicon, ordered, expected, _fit(x, y, weight * len(y) / weight.sum()))
 
