@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pavelake.llm import bpe, dartminhash, decontam, langid, secrets
-from pavelake.llm.common import kept, table
+from pavelake.llm.common import table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of the labelled ones; texts that are null, hold no letter or are made of
     strings unlike any of the languages go."""
-    return langid.identify(docs, langid.samples(docs)).where(langid.accepted()).select(*docs.columns)
+    judged = langid.identify(docs, langid.samples(docs), into="__language")
+    return judged.where(langid.accepted("__language")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,8 @@ ORACLE_SQL = None  # neither cross-parsing nor the tokenizer can be put in SQL
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES, 1):
+    for number, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES):
-            docs = kept(docs)
+            docs = written(docs, name)
     return docs
