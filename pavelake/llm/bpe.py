@@ -176,7 +176,7 @@ def _list_words(path: str, buckets: int):
 
 def _encode_words(path: str):
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made, known = _tokenizer(path), {}
+        fast, known = encoder(path), {}
         for batch in batches:
             sizes, ids = [], []
             for lengths, joined in zip(batch["sizes"], batch["words"]):
@@ -184,10 +184,9 @@ def _encode_words(path: str):
                 words = [joined[a:b] for a, b in zip([0, *ends], ends)]
                 if len(known) > WORDS_KEPT:
                     known = {}
-                new = [w for w in words if w not in known]
-                fresh = made.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-                for w, e in zip(new, fresh):
-                    known[w] = np.array(e.ids, np.int32).tobytes()
+                for w in words:
+                    if w not in known:
+                        known[w] = fast(w.decode("utf-8", "surrogatepass")).tobytes()
                 found = [known[w] for w in words]
                 sizes.append(_packed(np.array([len(x) // 4 for x in found], np.int32)))
                 ids.append(_packed(b"".join(found)))
@@ -262,25 +261,28 @@ def encoder(path: str = VOCABULARY):
 
 
 @lru_cache(1)
-def _decimals(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each id below size in decimals and a comma, as a table like that of the pieces."""
-    out = [b"%d," % i for i in range(size)]
-    return np.frombuffer(b"".join(out), np.uint8), np.cumsum([0, *map(len, out)])
+def _strings_of(path: str) -> tuple[list[bytes], list[str]]:
+    """The piece and the decimals of each id."""
+    values, begins = pieces_of(path)
+    raw, ends = values.tobytes(), begins.tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])], [str(i) for i in range(len(ends) - 1)]
 
 
 def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
     """Ids, decoded texts or their digests, of the texts of a block. Words are told twice, stride by stride: first for
     the order in which the block listed them, then to place their ids; so no more than a stride's words are held."""
     def finish(text: str, row: np.ndarray, sure: bool) -> tuple:
-        table = pieces_of(path)
-        whole = _joined(row, table)
+        pieces_by_id, decimals = _strings_of(path)
+        ids, whole = row.tolist(), text.encode("utf-8", "surrogatepass")
         # the tokenizer takes texts with unknown characters, and any that a clash of word hashes would spoil
-        if not sure or whole != text.encode("utf-8", "surrogatepass"):
+        if not sure or b"".join([pieces_by_id[i] for i in ids]) != whole:
             row = np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, np.int32)
-            whole = _joined(row, table)
-        given = {"ids": lambda: row, "decoded": lambda: whole.decode("utf-8", "replace"), "n_tokens": lambda: len(row)}
-        given["ids_sha256"] = lambda: hashlib.sha256(_joined(row, _decimals(len(table[1])))[:-1]).hexdigest()
-        given["decoded_sha256"] = lambda: hashlib.sha256(whole.decode("utf-8", "replace").encode()).hexdigest()
+            ids = row.tolist()
+            whole = b"".join([pieces_by_id[i] for i in ids])
+        decoded = whole.decode("utf-8", "replace")
+        given = {"ids": lambda: row, "decoded": lambda: decoded, "n_tokens": lambda: len(ids),
+                 "ids_sha256": lambda: hashlib.sha256(",".join([decimals[i] for i in ids]).encode()).hexdigest(),
+                 "decoded_sha256": lambda: hashlib.sha256(decoded.encode()).hexdigest()}
         return tuple(given[w]() for w in wanted)
 
     def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
@@ -289,10 +291,8 @@ def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
         sizes = np.frombuffer(b"".join(map(_unpacked, encoded["sizes"])), np.int32).astype(np.int64)
         ids = np.frombuffer(b"".join(map(_unpacked, encoded["ids"])), np.int32)
         begins = np.cumsum(sizes) - sizes
-        found = np.zeros(0, np.uint64)
-        for codes, starts, ends, _, _ in (s for texts in _texts(block) for s in _strides(texts, marker)):
-            found = np.union1d(found, span_hashes(codes, starts, ends))
-        listed, _ = _distinct(found, buckets)
+        found = [np.unique(span_hashes(codes, starts, ends)) for texts in _texts(block) for codes, starts, ends, _, _ in _strides(texts, marker)]
+        listed, _ = _distinct(np.concatenate(found) if found else np.zeros(0, np.uint64), buckets)
         order = np.argsort(listed)
         listed, done = listed[order], []
         for texts in _texts(block):

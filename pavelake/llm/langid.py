@@ -22,10 +22,11 @@ from pavelake.llm.common import kept, outside, small
 
 ROWS = 400  # labelled rows per language that the automata are made of, at most
 SYMBOLS = 40_000  # symbols per language, at most
-LETTERS = 60  # letters told apart; rarer ones are one symbol that no automaton knows
+DENSE = 40  # the most frequent letters, whose transitions are looked up in a table; those of all others are searched for
+KINDS = 1 << 21  # more than there are code points
 PIECE = 1_024  # symbols parsed in one go; a phrase ends at the end of a piece
 AT_ONCE = 1 << 20  # symbols stepped through together
-TOO_MANY = 0.5  # phrases per symbol from which on a text is in none of the languages
+TOO_MANY = 0.5  # phrases after the first, per symbol, from which on a text is in none of the languages
 UNKNOWN = "und"
 
 
@@ -41,11 +42,12 @@ def _letters(text: str | None) -> np.ndarray:
     return codes[~((codes == 32) & (np.concatenate([[32], codes[:-1]]) == 32))] if len(codes) else codes
 
 
-def automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton as a dense table [state * width + symbol].
+def automaton(symbols: list[int], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton, (table, keys, entries): those of symbols below width as a dense table
+    [state * width + symbol], those of the others as sorted keys [state * width * KINDS + symbol] and their entries.
 
-    An entry is 2 * width * next state; where the automaton has no transition it is the one from the start state,
-    plus 1 to tell that a phrase ended, so that following the entries is the greedy parse.
+    An entry is 2 * width * next state; where the automaton has no transition the table has the one from the start
+    state, plus 1 to tell that a phrase ended, so that following the entries is the greedy parse.
     """
     nexts: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -74,12 +76,30 @@ def automaton(symbols: list[int], width: int) -> np.ndarray:
         last = current
     first = np.ones(width, np.int32)
     for symbol, state in nexts[0].items():
-        first[symbol] = state * width * 2 + 1
-    table = np.tile(first, len(nexts))
+        if symbol < width:
+            first[symbol] = state * width * 2 + 1
+    table, rare = np.tile(first, len(nexts)), {}
     for state, moves in enumerate(nexts):
         for symbol, target in moves.items():
-            table[state * width + symbol] = target * width * 2
-    return table
+            if symbol < width:
+                table[state * width + symbol] = target * width * 2
+            else:
+                rare[state * width * KINDS + symbol] = target * width * 2
+    keys = np.array(sorted(rare), np.int64)
+    return table, keys, np.array([rare[k] for k in keys.tolist()], np.int64)
+
+
+def _searched(keys: np.ndarray, entries: np.ndarray, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Entries of symbols that the table does not hold; a symbol that the automaton has nowhere is a phrase by itself."""
+    def look_up(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return keys[at] == wanted, entries[at]
+
+    if not len(keys):
+        return np.ones(len(states), np.int64)
+    known, entry = look_up(states * KINDS + symbols)
+    starts, anew = look_up(symbols)
+    return np.where(known, entry, np.where(starts, anew + 1, 1))
 
 
 class Parser:
@@ -89,35 +109,40 @@ class Parser:
         self.languages = sorted(samples)
         parts = {lang: _letters(samples[lang])[:SYMBOLS] for lang in self.languages}
         seen, counts = np.unique(np.concatenate([*parts.values(), np.zeros(0, np.uint32)]), return_counts=True)
-        seen = seen[seen != 32] if len(seen) else seen
-        counts = counts[-len(seen):] if len(seen) else counts  # the blank sorts first
-        chosen = np.sort(seen[np.argsort(-counts, kind="stable")[:LETTERS]])
-        self.width = len(chosen) + 2
-        self.symbol = np.full(0x110000, len(chosen) + 1, np.uint8)
+        ranked = seen[np.argsort(-counts, kind="stable")]
+        ranked = ranked[ranked != 32]  # the blank is symbol 0, the letters follow by frequency
+        self.width = min(DENSE, len(ranked)) + 1
+        self.symbol = np.full(0x110000, KINDS - 1, np.int32)  # letters of no sample: a symbol that no automaton has
+        self.symbol[ranked] = np.arange(1, len(ranked) + 1)
         self.symbol[32] = 0
-        self.symbol[chosen] = np.arange(1, len(chosen) + 1)
-        self.tables = [automaton([s for s in self.symbol[parts[lang]].tolist() if s <= len(chosen)], self.width)
-                       for lang in self.languages]
+        self.tables = [automaton(self.symbol[parts[lang]].tolist(), self.width) for lang in self.languages]
         self.bits = np.array([math.log2(max(2, len(parts[lang]))) for lang in self.languages])
 
     def phrases(self, sequences: list[np.ndarray]) -> np.ndarray:
         """[language, sequence]: number of phrases."""
         order, flat, begins = side_by_side(sequences)
+        rare = np.flatnonzero(flat >= self.width)
+        steps = np.searchsorted(rare, begins)
+        rare_from, dense = steps.tolist(), np.where(flat >= self.width, 0, flat)
         out = np.zeros((len(self.tables), len(sequences)), np.int64)
-        for g, table in enumerate(self.tables):
+        for g, (table, keys, entries) in enumerate(self.tables):
             state = np.zeros(len(sequences), np.int64)
             count = np.ones(len(sequences), np.int64)
             for k in range(len(begins) - 1):
-                symbols = flat[begins[k]: begins[k + 1]]
+                symbols = dense[begins[k]: begins[k + 1]]
                 n = len(symbols)
                 entry = table[state[:n] + symbols]
+                if rare_from[k] < rare_from[k + 1]:
+                    at = rare[rare_from[k]: rare_from[k + 1]]
+                    entry = entry.astype(np.int64)
+                    entry[at - begins[k]] = _searched(keys, entries, state[at - begins[k]], flat[at])
                 count[:n] += entry & 1
                 state[:n] = entry >> 1
             out[g, order] = count
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and phrases per symbol of each text."""
+        """Language, score and phrases after the first, per symbol, of each text."""
         langs, scores, rates = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts))
         for run in batches_of([len(t or "") for t in texts], AT_ONCE):
             cut, owner, size = [], [], np.zeros(len(run), np.int64)
@@ -139,7 +164,7 @@ class Parser:
                 if size[i]:
                     langs[row] = self.languages[best[i]]
                     scores[row] = min(1.0, max(0.0, 1 - least[0, i] / second[i]))
-                    rates[row] = total[best[i], i] / size[i]
+                    rates[row] = (total[best[i], i] - -(-size[i] // PIECE)) / size[i]
         return langs, scores, rates
 
 

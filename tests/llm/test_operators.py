@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pavelake.llm import bpe, components, dartminhash, decontam, embeddings, langid, licenses, passages, secrets
 from pavelake.llm import suffixtree, toxicity
@@ -348,22 +349,68 @@ def test_language_id(spark):
     assert langid.identify(frame(spark, []), langid.samples(frame(spark, []))).count() == 0
 
 
-def test_greedy_parse_takes_longest_known_phrases():
-    train, text = "abcabdabcc", "abcabdxabccabz"
-    symbols = {c: i for i, c in enumerate("abcdxz")}
-    table = langid.automaton([symbols[c] for c in train], 6)
-    state, phrases = 0, 1
-    for c in text:
-        entry = int(table[state + symbols[c]])
-        phrases, state = phrases + (entry & 1), entry >> 1
-    wanted, at = 0, 0
-    while at < len(text):
-        n = 1
-        while at + n < len(text) and text[at: at + n + 1] in train:
-            n += 1
-        wanted, at = wanted + 1, at + n
-    # a letter that is not in the training text ends a phrase and is one, with nothing after it
-    assert abs(phrases - wanted) <= text.count("x") + text.count("z")
+@pytest.mark.parametrize("dense", [0, 2, 40])
+def test_greedy_parse_takes_longest_known_phrases(monkeypatch, dense):
+    """Whatever share of the letters is in the table and not searched for."""
+    monkeypatch.setattr(langid, "DENSE", dense)
+    rng = random.Random(dense)
+    train = "".join(rng.choices("abcdef漢字語", k=400))
+    texts = ["".join(rng.choices("abcdef漢字語zé", k=rng.randint(1, 60))) for _ in range(50)] + ["漢", "z", "zz"]
+    parser = langid.Parser({"xx": train})
+    found = parser.phrases([parser.symbol[langid._letters(t)].astype(np.int64) for t in texts])[0]
+    for text, phrases in zip(texts, found):
+        wanted, at = 1, 0
+        while at < len(text):
+            n = 0
+            while at + n < len(text) and text[at: at + n + 1] in train:
+                n += 1
+            # a letter that the training text lacks ends a phrase, and the next one starts after it
+            at, wanted = at + max(n, 1) if n == 0 or at + n == len(text) or text[at + n] in train else at + n + 1, wanted + (at + n < len(text))
+        assert phrases == wanted
+
+
+def test_scripts_of_any_size_are_told_apart_and_kept(spark):
+    rng, rows = random.Random(5), []
+    starts = {"latin": 0x61, "greek": 0x3B1, "cyrillic": 0x430, "arabic": 0x628, "hindi": 0x915, "korean": 0xAC00, "chinese": 0x4E00}
+    for k, (name, start) in enumerate(starts.items()):
+        letters = [chr(start + i) for i in range(20 if start < 0xA000 else 2500)]
+        words = ["".join(rng.choices(letters, k=rng.randint(2, 5))) for _ in range(400)]
+        rows += [(1000 * k + i, " ".join(rng.choices(words, k=60)), name) for i in range(100)]
+        rows.append((1000 * k + 500, words[0], None))
+    docs = frame(spark, rows)
+    judged = langid.identify(docs, langid.samples(docs), into="__v").select("doc_id", "lang", "__v.lang_pred", langid.accepted("__v").alias("kept")).collect()
+    for name in starts:
+        of = [r for r in judged if r.lang == name]
+        assert sum(r.lang_pred == name for r in of) >= 0.95 * len(of) and sum(r.kept for r in of) >= 0.95 * len(of)
+    assert sum(r.kept for r in judged if r.lang is None) == len(starts)  # one word of a language is not too short
+
+
+def test_a_column_of_the_user_survives_the_first_stage(spark):
+    import corpus_pipeline
+
+    docs = frame(spark, languages()).withColumns({"score": F.lit(7.5), "language": F.lit("mine"), "lang_pred": F.lit(1)})
+    out = corpus_pipeline.language(spark, docs, "")
+    assert out.columns == docs.columns and out.select("score", "language", "lang_pred").distinct().collect() == [(7.5, "mine", 1)]
+
+
+def test_toxicity_learns_nothing_from_held_out_labels_or_other_columns(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(WORDS, k=30) + (["vileword"] * 2 if i % 3 == 0 else [])), rng.choice("ab"), rng.choice("st")) for i in range(400)]
+    docs = frame(spark, rows)
+    labels = [(i, int(i % 3 == 0)) for i in range(400)]
+    turned = [(i, 1 if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, t in labels]
+    scores = []
+    for lab, table in ((labels, docs), (turned, docs.withColumns({"lang": F.lit("zz"), "source": F.lit(None).cast("string")}))):
+        model = toxicity.learn(table, spark.createDataFrame(lab, "doc_id long, toxic int"))
+        scores.append({r.doc_id: r.score for r in toxicity.score(table, model).collect()})
+    assert scores[0] == scores[1] and len(set(scores[0].values())) > 1
+
+
+def test_repeated_rows_and_null_keys_are_masked_and_not_multiplied(spark):
+    secret = "password: abcdefgh12345678"
+    rows = [(1, secret, "aa", "s1"), (1, secret, "aa", "s1"), (None, "x " + secret, "aa", "s1"), (2, "clean", "aa", "s1"), (3, None)]
+    out = [r.text for r in secrets.mask(frame(spark, rows)).collect()]
+    assert sorted(map(str, out)) == ["None", "[secret]", "[secret]", "clean", "x [secret]"]
 
 
 def test_lm_scores_against_plain_counts(spark):
