@@ -21,7 +21,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--master")
     parser.add_argument("--source", default="kafka", help="message source: kafka or a file format")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="message source option")
-    parser.add_argument("--hourly-mode", choices=["complete", "append"], default="complete")
+    parser.add_argument("--hourly-mode", choices=["dates", "complete", "append"], default="dates")
     parser.add_argument("--watermark", default=WATERMARK, help="how late an event may be")
     parser.add_argument("--window", default=WINDOW, help="length of a window of the hourly metrics")
     parser.add_argument("--copy-slices", type=int, help="slices of stateful dedup; default: as many as shuffle partitions, 0: none")

@@ -284,6 +284,7 @@ def oracles() -> dict[str, str]:
         "road_hourly": _sql(road_rows, "hourly"),
         "zone_hourly_stream": _sql(zone_rows, "hourly"),
         "road_hourly_stream": _sql(road_rows, "hourly"),
+        "zone_hourly_complete": _sql(zone_rows, "hourly"),
         "zone_hourly_final": _sql(zone_rows + _CLOSED, "hourly"),
         "dedup_window_chain": _sql(zone_rows + _CLOSED, "hourly", twice=True),
         "late_drop_audit": _sql(

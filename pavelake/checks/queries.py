@@ -254,10 +254,14 @@ def _dimension_stream(name: str) -> Query:
     return run
 
 
-def _hourly_stream(name: str) -> Query:
+def _hourly_stream(name: str, mode: str = "dates") -> Query:
     def run(spark, sf_dir):
-        cfg = LakeConfig(shared_folder(spark, f"{name}_stream"))
-        _silver_table(spark, sf_dir, cfg.root)
+        cfg = LakeConfig(shared_folder(spark, f"{name}_stream"), hourly_mode=mode)
+        silver = _silver(spark, sf_dir)
+        if mode == "dates":
+            fact_rows(silver).write.partitionBy("event_date").parquet(cfg.table("fact"))
+        else:
+            _stored(silver.select(*SILVER.fieldNames()), cfg.table("silver"))
         run_to_end([lambda: publish.start_hourly(spark, cfg, name, ALL_AVAILABLE)])
         return publish.read_hourly(spark, cfg, name)
 
@@ -487,6 +491,7 @@ def registered() -> dict[str, Query]:
         "road_hourly": lambda spark, sf_dir: road_hourly(_silver(spark, sf_dir)),
         "zone_hourly_stream": _hourly_stream("zone_hourly"),
         "road_hourly_stream": _hourly_stream("road_hourly"),
+        "zone_hourly_complete": _hourly_stream("zone_hourly", "complete"),
         "zone_hourly_final": zone_hourly_final,
         "dedup_window_chain": dedup_window_chain,
         "rejected_summary": lambda spark, sf_dir: reports.rejected_summary(silver_rejected(spark, sf_dir)),

@@ -42,8 +42,9 @@ class LakeConfig:
     # Stateful dedup first thins copies per slice of input, then per key. None: as many slices as shuffle
     # partitions. 0 turns the first step off.
     copy_slices: int | None = None
-    # "complete" keeps every window for ever; "append" publishes a window once it can no longer change.
-    hourly_mode: str = "complete"
+    # "dates" rewrites the dates a micro-batch has events of, from the fact table, and keeps no state; "complete" keeps
+    # every window for ever; "append" publishes a window once it can no longer change.
+    hourly_mode: str = "dates"
     # Upper bounds of one micro-batch, so that a backlog is worked off in equal steps.
     max_files_per_trigger: int | None = 1000
     # Replaced versions of a table stay this long for readers that are still busy with them.

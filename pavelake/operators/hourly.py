@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Iterable
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavelake.config import WATERMARK, WINDOW
@@ -29,6 +33,17 @@ def _windowed(df: DataFrame, keys: list[str], out: list[str], window: str, water
     return grouped.withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}).select(*out)
 
 
+def window_date(event_ts: Column, window: str = WINDOW) -> Column:
+    """Date on which the window of an event starts."""
+    return F.to_date(F.window(event_ts, window)["start"])
+
+
+def days_read(dates: Iterable[date], window_seconds: float) -> list[date]:
+    """Dates whose events lie in windows that start on one of the dates. Windows that divide a day stay within it."""
+    beyond = 0 if 86_400 % window_seconds == 0 else math.ceil(window_seconds / 86_400)
+    return sorted({day + timedelta(days=k) for day in dates for k in range(beyond + 1)})
+
+
 def zone_hourly(silver: DataFrame, window: str = WINDOW, watermark: str | None = WATERMARK) -> DataFrame:
     return _windowed(silver, ["city_zone", "weather", "peak_flag"], ZONE_HOURLY.fieldNames(), window, watermark)
 

@@ -28,6 +28,7 @@ def start_validated(spark: SparkSession, cfg: LakeConfig, trigger: Trigger = Non
         name="silver_validated",
         fmt=cfg.table_format,
         partition_by=["dq_flag"],
+        balance=["dq_flag"],
         trigger=trigger,
     )
 

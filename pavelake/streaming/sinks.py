@@ -34,8 +34,16 @@ def append_sink(
     partition_by: Sequence[str] = (),
     trigger: Trigger = None,
     options: dict[str, str] | None = None,
+    balance: Sequence[str] | None = None,
 ) -> StreamingQuery:
-    """Append exactly once. Readers go through the sink's commit log and never see half a batch."""
+    """Append exactly once. Readers go through the sink's commit log and never see half a batch.
+
+    With ``balance`` a stateless micro-batch is dealt out by those columns (or evenly, if there are none) into files of
+    the size that ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` names: a value with many rows fills several
+    files, those with few share a task, and there is not one file for every task and value.
+    """
+    if balance is not None:
+        df = df.hint("rebalance", *balance)
     writer = _writer(df, checkpoint, name, trigger).format(fmt).outputMode("append").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -97,6 +105,36 @@ def rewrite_sink(
     return batch_sink(df, checkpoint, replace, name=name, trigger=trigger, output_mode="complete")
 
 
+def partition_sink(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition: str,
+    rebuild: Callable[[list], DataFrame],
+    *,
+    name: str | None = None,
+    fmt: str = "parquet",
+    trigger: Trigger = None,
+) -> StreamingQuery:
+    """Replace those partitions of a table that a micro-batch touches, and no others.
+
+    ``rebuild`` makes the rows of some values of ``partition`` anew from committed tables. A repeated batch therefore
+    gives the same rows, and a write that died is mended by its repetition. There is no streaming state. The distinct
+    values of a batch come to the driver, so ``partition`` is a column of few values, such as a date.
+
+    Delta replaces the partitions in one commit. Of other formats a reader may meet a partition between its old and
+    its new files; readers that cannot have that read after the batch, or use output mode ``complete``.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        touched = sorted(row[0] for row in batch.select(partition).distinct().collect() if row[0] is not None)
+        if touched:
+            writer = rebuild(touched).write.format(fmt).mode("overwrite").partitionBy(partition)
+            writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+    return batch_sink(df, checkpoint, replace, name=name, trigger=trigger)
+
+
 def message_sink(
     messages: DataFrame,
     checkpoint: str,
