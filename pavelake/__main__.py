@@ -23,6 +23,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="message source option")
     parser.add_argument("--hourly-mode", choices=["dates", "complete", "append"], default="dates")
     parser.add_argument("--watermark", default=WATERMARK, help="how late an event may be")
+    parser.add_argument("--route-late", action="store_true", help="keep late rows as rejected ones")
+    parser.add_argument("--arrival-bounds-clock", action="store_true", help="no event moves the watermark past its arrival")
     parser.add_argument("--window", default=WINDOW, help="length of a window of the hourly metrics")
     parser.add_argument("--copy-slices", type=int, help="slices of stateful dedup; default: as many as shuffle partitions, 0: none")
     parser.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of one micro-batch; 0: no limit")
@@ -47,6 +49,8 @@ def main(argv: list[str] | None = None) -> None:
         watermark=args.watermark,
         window=args.window,
         copy_slices=args.copy_slices,
+        route_late=args.route_late,
+        arrival_bounds_clock=args.arrival_bounds_clock,
         max_files_per_trigger=args.max_files_per_trigger or None,
         keep_versions_seconds=args.keep_versions_seconds,
         message_source=args.source,

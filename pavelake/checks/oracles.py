@@ -293,6 +293,12 @@ def oracles() -> dict[str, str]:
                  SELECT date_trunc('millisecond', max(event_ts)) FROM clean
                  WHERE epoch_us(event_ts) % 7 <> 0) - INTERVAL 15 MINUTE""",
             "clean"),
+        "late_rows_routed": _sql(
+            """SELECT l.vehicle_id, l.event_ts, l.city_zone, l.weather, l.speed_int, 'LATE_EVENT' AS invalid_reason
+               FROM clean l WHERE epoch_us(l.event_ts) % 7 = 0 AND l.event_ts <= (
+                 SELECT date_trunc('millisecond', max(event_ts)) FROM clean
+                 WHERE epoch_us(event_ts) % 7 BETWEEN 1 AND 5) - INTERVAL 15 MINUTE""",
+            "clean"),
         "rejected_summary": _sql("SELECT invalid_reason, count(*) AS row_count FROM validated "
                                  "WHERE dq_flag = 'REJECTED' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", "validated"),
         "profile_tables": _sql(profile, "dims"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pavelake.config import LakeConfig
+from pavelake.functions.casting import lenient_timestamp
 from pavelake.functions.keys import event_bucket, with_record_key
 from pavelake.functions.numeric import round_half_even
 from pavelake.operators import regression, reports
@@ -31,14 +32,14 @@ from pavelake.operators.quality import (
     with_types,
 )
 from pavelake.operators.star import dimension, fact_rows
-from pavelake.plans import announce, publish, score, train
+from pavelake.plans import announce, publish, refine, score, train
 from pavelake.schemas import BRONZE, FACT, MESSAGE, SILVER, VALIDATED
 from pavelake.session import shared_folder, use_checkpoints
 from pavelake.sources import bindings
 from pavelake.sources.messages import decode_messages
 from pavelake.sources.tables import ensure_folder, read_rejected, read_table, read_validated, stream_table
 from pavelake.plans.refine import start_validated
-from pavelake.streaming.audit import as_rejected, late_rows
+from pavelake.streaming.audit import LATE_EVENT, as_rejected, late_rows
 from pavelake.streaming.dimensions import dimension_sink, read_dimension
 from pavelake.streaming.sinks import append_sink
 from pavelake.streaming.supervise import run_to_end
@@ -217,6 +218,20 @@ def late_drop_audit(spark, sf_dir):
     return late.select("vehicle_id", "event_ts", "city_zone", "weather", "speed_int", "invalid_reason")
 
 
+def late_rows_routed(spark, sf_dir):
+    """Three deliveries through the jobs with routing on: what is rejected as late.
+
+    Every seventh microsecond comes last and is judged by the latest event of the first delivery."""
+    cfg = LakeConfig(shared_folder(spark, "late_rows_routed"), route_late=True)
+    turn = F.coalesce(F.unix_micros(lenient_timestamp(F.col("event_time"))) % 7, F.lit(1))
+    feed = read_table(spark, _stored(_bronze(spark, sf_dir).withColumn("turn", turn), f"{cfg.root}/feed"))
+    for part in (feed.filter("turn between 1 and 5"), feed.filter("turn = 6"), feed.filter("turn = 0")):
+        part.drop("turn").write.mode("append").parquet(cfg.table("bronze"))
+        refine.run(spark, cfg, ALL_AVAILABLE)
+    late = read_rejected(spark, cfg).filter(F.col("invalid_reason") == LATE_EVENT)
+    return late.select("vehicle_id", "event_ts", "city_zone", "weather", "speed_int", "invalid_reason")
+
+
 # -- fact, dimensions, hourly metrics ---------------------------------------------------------------
 
 
@@ -482,6 +497,7 @@ def registered() -> dict[str, Query]:
         "silver_features": silver_features,
         "silver_stream": silver_stream,
         "late_drop_audit": late_drop_audit,
+        "late_rows_routed": late_rows_routed,
         "gold_fact": gold_fact,
         "fact_batch": fact_batch,
         "gold_fact_stream": gold_fact_stream,

@@ -45,6 +45,11 @@ class LakeConfig:
     # "dates" rewrites the dates a micro-batch has events of, from the fact table, and keeps no state; "complete" keeps
     # every window for ever; "append" publishes a window once it can no longer change.
     hourly_mode: str = "dates"
+    # Rows behind the watermark are written as rejected ones, with the reason LATE_EVENT, instead of being dropped.
+    route_late: bool = False
+    # An event counts for the watermark at the lesser of its own time and its arrival, so a clock that runs ahead cannot
+    # shorten what others are allowed.
+    arrival_bounds_clock: bool = False
     # Upper bounds of one micro-batch, so that a backlog is worked off in equal steps.
     max_files_per_trigger: int | None = 1000
     # Replaced versions of a table stay this long for readers that are still busy with them.

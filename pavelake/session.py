@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,19 @@ def build_session(
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """A setting for what is planned or started inside; None leaves it as it is. A streaming query keeps it."""
+    before = spark.conf.get(name)
+    try:
+        if value is not None:
+            spark.conf.set(name, value)
+        yield
+    finally:
+        if value is not None:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 

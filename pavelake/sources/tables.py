@@ -6,12 +6,16 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pavelake.config import LakeConfig
 from pavelake.schemas import VALIDATED
 
 VERSION = "version="
+BATCH = "batch_id="
+
+# A table that is written batch by batch has the batch's number as a column.
+BATCHED = StructType([*VALIDATED, StructField(BATCH.rstrip("="), LongType())])
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -82,6 +86,22 @@ def drop_versions(spark: SparkSession, path: str, older_than_seconds: float) ->
             fs.delete(_hadoop_path(spark, f"{path}/{VERSION}{version}")[1], True)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, folder = _hadoop_path(spark, path)
+    if fs.exists(folder):
+        fs.delete(folder, True)
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """Committed batches of a table that is written batch by batch; none that is being written or was left half done."""
+    if fmt == "delta":
+        return spark.read.format(fmt).load(path)
+    batches = [f"{path}/{BATCH}{n}" for n in list_versions(spark, path, BATCH)]
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.format(fmt).schema(schema).option("basePath", path).load(batches)
+
+
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Newest committed version of a table that is replaced as a whole."""
     if fmt == "delta":
@@ -94,7 +114,10 @@ def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 def read_validated(spark: SparkSession, cfg: LakeConfig, outcome: str | None = None) -> DataFrame:
     """Validated table; ``outcome`` picks one of its two partitions, "OK" or "REJECTED"."""
-    table = read_table(spark, cfg.table("silver_validated"), cfg.table_format, VALIDATED)
+    if cfg.route_late:
+        table = read_batches(spark, cfg.table("silver_routed"), BATCHED, cfg.table_format)
+    else:
+        table = read_table(spark, cfg.table("silver_validated"), cfg.table_format, VALIDATED)
     if outcome is not None:
         table = table.filter(F.col("dq_flag") == outcome)
     return table.select(*VALIDATED.fieldNames())

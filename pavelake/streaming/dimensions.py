@@ -16,8 +16,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from pavelake.operators.star import DIMENSIONS
 from pavelake.schemas import DIM_ROAD, DIM_WEATHER, DIM_ZONE
-from pavelake.sources.tables import list_versions, path_exists
-from pavelake.streaming.sinks import BATCH, Trigger, batch_sink, write_batch
+from pavelake.sources.tables import BATCH, path_exists, read_batches
+from pavelake.streaming.sinks import Trigger, batch_sink, write_batch
 
 
 BATCH_COLUMN = BATCH.rstrip("=")
@@ -26,13 +26,7 @@ SCHEMAS = {"dim_zone": DIM_ZONE, "dim_road": DIM_ROAD, "dim_weather": DIM_WEATHE
 
 def _stored(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
     """What is committed. A batch that is being written, or was left half written, is not read."""
-    if fmt == "delta":
-        return spark.read.format(fmt).load(path)
-    schema = StructType([*SCHEMAS[name], StructField(BATCH_COLUMN, LongType())])
-    batches = [f"{path}/{BATCH}{n}" for n in list_versions(spark, path, BATCH)]
-    if not batches:
-        return spark.createDataFrame([], schema)
-    return spark.read.format(fmt).schema(schema).option("basePath", path).load(batches)
+    return read_batches(spark, path, StructType([*SCHEMAS[name], StructField(BATCH_COLUMN, LongType())]), fmt)
 
 
 def add_new_keys(keys: DataFrame, batch_id: int, name: str, path: str, fmt: str = "parquet") -> None:

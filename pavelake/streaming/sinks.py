@@ -11,10 +11,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from pavelake.sources.tables import VERSION, drop_versions
+from pavelake.sources.tables import BATCH, VERSION, drop_versions
 
 Trigger = dict[str, object] | None
-BATCH = "batch_id="
 
 
 def _writer(df: DataFrame, checkpoint: str, name: str | None, trigger: Trigger) -> DataStreamWriter:
@@ -70,9 +69,12 @@ def write_batch(
     fmt: str = "parquet",
     name: str = "batch",
     options: dict[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Add one batch to a table so that repeating the batch does not add it twice."""
     writer = batch.write.format(fmt).options(**(options or {}))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if fmt == "delta":
         writer.mode("append").option("txnAppId", name).option("txnVersion", batch_id).save(path)
     else:
