@@ -229,6 +229,21 @@ def _one_split(*also: str) -> str:
         "GROUP BY all_n")
 
 
+def _boosting_step() -> str:
+    """The mean, moved by a twentieth towards the means of the two sides of the best split of a number or a category."""
+    rows = f"(SELECT * FROM train WHERE {_BUCKET} < 8)"
+    numbers = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS x, speed_int::DOUBLE AS y FROM {rows}" for c in _NUMERIC)
+    categories = " UNION ALL ".join(
+        f"SELECT count(*)::HUGEINT AS n, sum(speed_int::DOUBLE) AS s FROM {rows} GROUP BY {c}" for c in ("road_id", "city_zone", "weather", "traffic_band"))
+    return (
+        "SELECT round(m + 0.05 * (unnest([s / n, (all_s - s) / (all_n - n)]) - m), 6) AS prediction, unnest([n, all_n - n])::BIGINT AS row_count FROM ("
+        "SELECT *, all_s / all_n AS m, row_number() OVER (ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC) AS place FROM ("
+        "SELECT sum(n) OVER w AS n, sum(s) OVER w AS s FROM ("
+        f"SELECT feature, x, count(*) AS n, sum(y) AS s FROM ({numbers}) GROUP BY feature, x) "
+        f"WINDOW w AS (PARTITION BY feature ORDER BY x) UNION ALL {categories}), "
+        f"(SELECT count(*) AS all_n, sum(speed_int::DOUBLE) AS all_s FROM {rows}) WHERE n < all_n) WHERE place = 1")
+
+
 def oracles() -> dict[str, str]:
     profile = " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, CAST(cid AS INTEGER) AS position, column_name, n AS row_count "
@@ -360,6 +375,11 @@ def oracles() -> dict[str, str]:
         "ml_decision_tree_fit": _sql(_one_split("0.0::DOUBLE AS worst_leaf_error"), "train"),
         "ml_random_forest_fit": _sql(_one_split(), "train"),
         "ml_gbt_fit": _sql(_one_split("0.0::DOUBLE AS mean_error"), "train"),
+        "ml_boosting_step": _sql(_boosting_step(), "train"),
+        "ml_runs_verified": _sql(
+            "SELECT model_name, test_rows, label_sum, true AS metrics_fit FROM (VALUES ('Linear Regression'), ('Decision Tree'), "
+            "('Random Forest'), ('Gradient Boosting')) AS m(model_name), (SELECT count(*) AS test_rows, sum(speed_int)::BIGINT AS label_sum "
+            f"FROM train WHERE {_BUCKET} >= 8)", "train"),
         "score_new_rows": _sql(
             "SELECT vehicle_id, road_id, city_zone, weather, event_ts, traffic_volume_int, congestion_level_int, "
             f"speed_int, true AS error_fits FROM fact WHERE {_BUCKET.replace('% 10', '% 2')} = 1", "fact"),

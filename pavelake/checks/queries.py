@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,7 @@ from pavelake.functions.casting import lenient_timestamp
 from pavelake.functions.keys import event_bucket, with_record_key
 from pavelake.functions.numeric import round_half_even
 from pavelake.operators import regression, reports
+from pavelake.operators.ensembles import MeanBoosting
 from pavelake.operators.dedup import copy_slices, dedup_batch, dedup_stream
 from pavelake.operators.features import with_features
 from pavelake.operators.hourly import road_hourly, zone_hourly
@@ -439,6 +443,36 @@ def ml_gbt_fit(spark, sf_dir):
     return _beats_one_split(errors).join(F.broadcast(mean))  # one row each
 
 
+def ml_boosting_step(spark, sf_dir):
+    """One round of stumps: the mean, moved a twentieth of the way to the means of the two sides of the best split."""
+    use_checkpoints(spark)
+    fact = _fact_table(spark, sf_dir, "ml_boosting_step")
+    stump = DecisionTreeRegressor(labelCol=regression.LABEL, maxDepth=1, maxBins=regression.bins_for(), seed=regression.SEED)
+    name = "one round"
+    fitted = train.fit_all(fact, {name: MeanBoosting(stump, rounds=1, step=0.05)}).best
+    rows = regression.with_split(regression.training_rows(fact)).filter("is_train")
+    sides = fitted.transform(rows).groupBy("prediction").agg(F.count(F.lit(1)).alias("row_count"))
+    return sides.select(F.round("prediction", 6).alias("prediction"), "row_count")
+
+
+def ml_runs_verified(spark, sf_dir):
+    """The run log against its artifacts: each logged model is loaded and its metrics taken anew from single rows."""
+    cfg = LakeConfig(shared_folder(spark, "ml_runs_verified"))
+    train.log_runs(spark, cfg, _fit(spark, sf_dir))
+    test = regression.with_split(regression.training_rows(_fact_table(spark, sf_dir, "ml_runs_verified"))).filter("NOT is_train")
+    y, p = F.col(regression.TARGET), F.col("prediction")
+    found = []
+    for run in read_table(spark, cfg.table("model_runs")).orderBy("model_name").collect():  # a row a model
+        scored = PipelineModel.load(run["model_path"]).transform(test)
+        again = scored.agg(
+            F.count(F.lit(1)).alias("test_rows"), F.sum(y).alias("label_sum"), (1 - F.sum((y - p) ** 2) / (F.count(y) * F.var_pop(y))).alias("test_r2"),
+            F.sqrt(F.avg((y - p) ** 2)).alias("test_rmse"), F.avg(F.abs(y - p)).alias("test_mae"))
+        fits = [F.abs(F.col(m) - run["metrics"][m]) < 1e-6 for m in ("test_r2", "test_rmse", "test_mae")]
+        found.append(again.select(F.lit(run["model_name"]).alias("model_name"), "test_rows", "label_sum",
+                                  (fits[0] & fits[1] & fits[2]).alias("metrics_fit")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def ml_leaderboard(spark, sf_dir):
     cfg = LakeConfig(shared_folder(spark, "ml_leaderboard"))
     train.save(spark, cfg, _fit(spark, sf_dir))
@@ -531,7 +565,9 @@ def registered() -> dict[str, Query]:
         "ml_decision_tree": _model_scores("Decision Tree"),
         "ml_random_forest": _model_scores("Random Forest"),
         "ml_gbt": _model_scores("Gradient Boosting"),
+        "ml_boosting_step": ml_boosting_step,
         "ml_leaderboard": ml_leaderboard,
+        "ml_runs_verified": ml_runs_verified,
         "ml_runs": ml_runs,
         "score_new_rows": score_new_rows,
     }

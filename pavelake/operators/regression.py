@@ -6,18 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavelake.config import EVENT_KEY, QualityLimits
 from pavelake.functions.keys import event_bucket
 from pavelake.functions.numeric import round_half_even
+from pavelake.operators.ensembles import ROW_ID, BootstrapForest, MeanBoosting
 from pavelake.schemas import PREDICTIONS
 
 # What is learned, from which columns, and how rows are split.
@@ -52,7 +48,8 @@ def collapse(rows: DataFrame, *also: str) -> DataFrame:
     long before the input does. A fit that honours weights gives the same model on it.
     """
     columns = [*FEATURES, TARGET, *also, *(["is_train"] if "is_train" in rows.columns else [])]
-    return rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    collapsed = rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(WEIGHT))
+    return collapsed.withColumn(ROW_ID, F.xxhash64(*FEATURES, TARGET))
 
 
 def feature_pipeline() -> Pipeline:
@@ -84,16 +81,11 @@ def regressors(
     return {
         "Linear Regression": LinearRegression(labelCol=LABEL, tol=1e-12, maxIter=1000),
         "Decision Tree": DecisionTreeRegressor(labelCol=LABEL, maxDepth=8, maxBins=max_bins, seed=SEED),
-        "Random Forest": RandomForestRegressor(
-            labelCol=LABEL,
-            numTrees=forest_trees,
-            maxDepth=12,
-            featureSubsetStrategy="all",
-            maxBins=max_bins,
-            seed=SEED,
+        "Random Forest": BootstrapForest(
+            DecisionTreeRegressor(labelCol=LABEL, maxDepth=12, maxBins=max_bins, seed=SEED), trees=forest_trees
         ),
-        "Gradient Boosting": GBTRegressor(
-            labelCol=LABEL, maxIter=boosting_rounds, stepSize=0.05, maxDepth=3, maxBins=max_bins, seed=SEED
+        "Gradient Boosting": MeanBoosting(
+            DecisionTreeRegressor(labelCol=LABEL, maxDepth=3, maxBins=max_bins, seed=SEED), rounds=boosting_rounds, step=0.05
         ),
     }
 

@@ -6,14 +6,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pavelake.config import LakeConfig
 from pavelake.operators import regression
+from pavelake.operators.ensembles import ROW_ID
 from pavelake.operators.regression import FEATURES, LABEL, TARGET, WEIGHT
 from pavelake.schemas import FACT, LEADERBOARD
 from pavelake.session import use_checkpoints
@@ -41,26 +40,23 @@ def fit_all(fact: DataFrame, models: Mapping[str, Estimator] | None = None) -> T
     """Fit each model on the training side and measure it on both.
 
     The fact table is read into collapsed rows whose number is bounded by the feature domains; indexing, weighted fits
-    and evaluation work on those, encoded once for all models. The forest draws its bootstrap from the rows themselves.
+    and evaluation work on those, encoded once for all models.
     """
     models = dict(models or regression.regressors())
+    use_checkpoints(fact.sparkSession)
     rows = regression.labelled(regression.with_split(regression.training_rows(fact)))
     small = regression.collapse(rows, LABEL).persist()
-    weighted = singles = None
+    weighted = None
     try:
         features = regression.feature_pipeline().fit(small.filter("is_train"))
-        weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT).persist()
+        weighted = features.transform(small).select("is_train", "features", LABEL, WEIGHT, ROW_ID).persist()
         fitted, scores = {}, {}
         for name, model in models.items():
-            if isinstance(model, RandomForestRegressor):
-                singles = features.transform(rows.filter("is_train")).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
-                last = model.fit(singles)
-            else:
-                last = model.copy({model.weightCol: WEIGHT}).fit(weighted.filter("is_train"))
+            last = model.copy({model.weightCol: WEIGHT}).fit(weighted.filter("is_train"))
             fitted[name] = PipelineModel(stages=[*features.stages, last])
             scores[name] = _scores(last.transform(weighted))
     finally:
-        for frame in (small, weighted, singles):
+        for frame in (small, weighted):
             if frame is not None:
                 frame.unpersist()
     return Training(fitted, scores, max(scores, key=lambda name: scores[name]["test_r2"]))

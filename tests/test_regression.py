@@ -4,17 +4,22 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import functions as F
 
 from pavelake.checks.queries import _fact
 from pavelake.operators import regression
+from pavelake.operators.ensembles import poisson
 from pavelake.plans import train
+from pavelake.session import use_checkpoints
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def rows(spark):
+    use_checkpoints(spark)
     return regression.labelled(regression.with_split(regression.training_rows(_fact(spark, SF_DIR)))).cache()
 
 
@@ -112,24 +117,95 @@ def test_models_carry_the_published_parameters():
     assert list(models) == ["Linear Regression", "Decision Tree", "Random Forest", "Gradient Boosting"]
     assert models["Linear Regression"].getRegParam() == 0.0
     assert models["Decision Tree"].getMaxDepth() == 8
-    assert (models["Random Forest"].getNumTrees(), models["Random Forest"].getMaxDepth()) == (200, 12)
+    assert (models["Random Forest"].trees, models["Random Forest"].tree.getMaxDepth()) == (200, 12)
     boosted = models["Gradient Boosting"]
-    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (200, 0.05, 3)
+    assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.tree.getMaxDepth()) == (200, 0.05, 3)
 
 
 def test_bins_cover_every_valid_value():
     assert regression.bins_for() > 1001
 
 
-def test_forest_draws_single_rows(spark, rows, monkeypatch):
-    """A row that is there 10,000 times reaches the forest as 10,000 rows."""
-    from pyspark.ml.regression import RandomForestRegressor
-
-    seen, fit = [], RandomForestRegressor._fit
-    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, df: (seen.append((df.count(), self.isSet("weightCol"))), fit(self, df))[1])
-    plain = rows.drop("bucket", "is_train", "label")
-    one = rows.where("is_train").drop("bucket", "is_train", "label").limit(1)
-    many = plain.unionByName(one.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(10_000)))).drop("k"))
-    forest = regression.regressors(forest_trees=2)["Random Forest"].copy({})
-    train.fit_all(many, {"Random Forest": forest})
-    assert seen == [(rows.where("is_train").count() + 10_000, False)]
+def test_multiplicities_are_poisson_numbers(spark):
+    """Mean, variance, share of zeros and tail of the numbers drawn, for small and for large counts; the same each time."""
+    for mean in (1.0, 3.0, 49.0, 51.0, 5_000.0):
+        draws = spark.range(40_000).select(poisson(F.lit(mean), F.col("id"), F.lit(7)).alias("k"))
+        got = draws.agg(F.avg("k").alias("m"), F.var_samp("k").alias("v"), F.avg((F.col("k") == 0).cast("double")).alias("zero"),
+                        F.skewness("k").alias("skew"), F.min("k").alias("low")).first()
+        assert abs(got.m - mean) < 5 * (mean / 40_000) ** 0.5 and abs(got.v / mean - 1) < 0.05
+        assert abs(got.zero - np.exp(-mean)) < 0.012 and abs(got.skew - mean ** -0.5) < 0.08 and got.low >= 0
+        assert draws.exceptAll(spark.range(40_000).select(poisson(F.lit(mean), F.col("id"), F.lit(7)).alias("k"))).isEmpty()
+    two = spark.range(20_000).select(poisson(F.lit(1.0), F.col("id"), F.lit(1)).alias("a"), poisson(F.lit(1.0), F.col("id"), F.lit(2)).alias("b"))
+    assert abs(two.corr("a", "b")) < 0.03  # trees draw their own
+
+
+def test_forest_is_the_mean_of_trees_and_is_saved_as_any_model(spark, framed, tmp_path):
+    rows = framed.withColumn("row_id", F.xxhash64(*regression.FEATURES, "label", "vehicle_id"))
+    model = regression.regressors(forest_trees=7)["Random Forest"].fit(rows)
+    assert model.getNumTrees == 7 and len({t.toDebugString for t in model.trees}) == 7
+    mean = sum(t.transform(rows).agg(F.avg("prediction")).first()[0] for t in model.trees) / 7
+    assert model.transform(rows).agg(F.avg("prediction")).first()[0] == pytest.approx(mean)
+    model.save(str(tmp_path / "forest"))
+    again = RandomForestRegressionModel.load(str(tmp_path / "forest"))
+    a, b = (m.transform(rows).select("vehicle_id", "event_ts", "prediction") for m in (model, again))
+    assert a.exceptAll(b).isEmpty()
+
+
+def test_a_row_with_a_large_count_weighs_as_many_rows(spark):
+    """A leaf is drawn to the label that is there 10,000 times, whichever tree."""
+    rows = spark.createDataFrame([(Vectors.dense(0.0), 10.0, 10_000.0, 1), (Vectors.dense(0.0), 20.0, 1.0, 2), (Vectors.dense(1.0), 5.0, 3.0, 3)],
+                                 ["features", "label", "row_weight", "row_id"])
+    forest = regression.regressors(forest_trees=5)["Random Forest"]
+    model = forest.copy({forest.weightCol: "row_weight"}).fit(rows)
+    assert model.predict(Vectors.dense(0.0)) == pytest.approx(10.0, abs=0.02)
+
+
+def by_force(x, y, w, rounds, step, depth):
+    """Boosting from the mean with exact splits, plainly."""
+    def grow(rows, left, level):
+        mean = np.average(left[rows], weights=w[rows])
+        best = None
+        for f in range(x.shape[1]) if level else ():
+            for t in np.unique(x[rows, f])[:-1]:
+                low = rows[x[rows, f] <= t]
+                high = rows[x[rows, f] > t]
+                gain = sum(np.average(left[s], weights=w[s]) ** 2 * w[s].sum() for s in (low, high)) - mean ** 2 * w[rows].sum()
+                if gain > 1e-9 and (best is None or gain > best[0] + 1e-9):
+                    best = (gain, low, high)
+        if best is None:
+            return [(rows, mean)]
+        return grow(best[1], left, level - 1) + grow(best[2], left, level - 1)
+
+    told = np.full(len(y), np.average(y, weights=w))
+    for _ in range(rounds):
+        for rows, value in grow(np.arange(len(y)), y - told, depth):
+            told[rows] += step * value
+    return told
+
+
+def test_boosting_starts_from_the_mean_and_shrinks_every_tree(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 9, 60), rng.integers(0, 5, 60), rng.integers(0, 2, 60)]).astype(float)
+    y, w = rng.normal(50, 20, 60).round(3), rng.integers(1, 6, 60).astype(float)
+    rows = spark.createDataFrame([(i, Vectors.dense(x[i]), float(y[i]), float(w[i])) for i in range(60)], ["id", "features", "label", "row_weight"])
+    for rounds in (0, 1, 3, 12):
+        model = regression.regressors(boosting_rounds=rounds)["Gradient Boosting"]
+        fitted = model.copy({model.weightCol: "row_weight"}).fit(rows)
+        got = {r.id: r.prediction for r in fitted.transform(rows).collect()}
+        want = by_force(x, y, w, rounds, 0.05, 3)
+        assert max(abs(got[i] - want[i]) for i in range(60)) < 1e-8
+    fitted.save(str(tmp_path / "boosted"))
+    again = GBTRegressionModel.load(str(tmp_path / "boosted"))
+    assert again.treeWeights == [1.0] + [0.05] * 12 and {r.id: r.prediction for r in again.transform(rows).collect()} == got
+
+
+def test_no_fit_holds_a_frame_that_grows_with_the_fact_table(spark, rows):
+    """Ten copies of every row reach the trees as rows with ten times the weight."""
+    from pavelake.operators import ensembles
+
+    plain, seen = rows.drop("bucket", "is_train", "label"), []
+    for copies in (1, 10):
+        many = plain.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("k")
+        small = regression.collapse(regression.labelled(regression.with_split(regression.training_rows(many))), "label")
+        seen.append((small.count(), small.agg(F.sum(regression.WEIGHT)).first()[0] / copies, small.select(ensembles.ROW_ID).distinct().count()))
+    assert seen[0] == seen[1] and seen[0][0] == seen[0][2]
