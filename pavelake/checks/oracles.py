@@ -43,6 +43,35 @@ messages AS (
     sent_at + to_minutes(d.delay) AS kafka_timestamp
   FROM payload JOIN (VALUES (0), (1)) AS d(delay) ON d.delay = 0 OR event_id % 20 = 0)"""
 
+_CHANGED = f"""
+messages AS (
+  SELECT CASE WHEN event_id % 101 = 0 THEN '{TRUNCATED}'
+              WHEN event_id % 31 = 0 THEN left(u, -1) || ',"unit":{{"speed":"kmh"}}}}' ELSE u END AS raw_json, sent_at AS kafka_timestamp
+  FROM (SELECT *, CASE WHEN event_id % 58 = 0 THEN left(t, -1) || ',"lane":' || (event_id % 4) || '}}'
+                       WHEN event_id % 29 = 0 THEN left(t, -1) || ',"lane":"left"}}' ELSE t END AS u
+    FROM (SELECT *, '{{' || concat_ws(',',
+      '"vehicle_id":"' || vehicle_id || '"', '"road_id":"' || road_id || '"',
+      '"city_zone":"' || city_zone || '"', '"speed":"' || speed || '"',
+      '"congestion_level":' || CASE WHEN event_id % 43 = 0 THEN '"' || congestion_level || '"' ELSE congestion_level::VARCHAR END,
+      '"traffic_volume":' || traffic_volume || CASE WHEN event_id % 47 = 0 THEN '.5' ELSE '' END,
+      '"incident_flag":' || incident_flag, '"weather":"' || weather || '"',
+      '"event_time":"' || event_time || '"') || '}}' AS t FROM payload)))"""
+
+# The raw table takes an integer for what it is only if the payload says so; the second one takes whatever holds a number.
+_STRICT = """
+bronze AS (
+  SELECT raw_json, kafka_timestamp,
+    j ->> '$.vehicle_id' AS vehicle_id, j ->> '$.road_id' AS road_id, j ->> '$.city_zone' AS city_zone, j ->> '$.speed' AS speed,
+    CASE WHEN json_type(j, '$.congestion_level') IN ('UBIGINT', 'BIGINT') THEN CAST(j ->> '$.congestion_level' AS INTEGER) END AS congestion_level,
+    CASE WHEN json_type(j, '$.traffic_volume') IN ('UBIGINT', 'BIGINT') THEN CAST(j ->> '$.traffic_volume' AS INTEGER) END AS traffic_volume,
+    CAST(j ->> '$.incident_flag' AS INTEGER) AS incident_flag, j ->> '$.weather' AS weather, j ->> '$.event_time' AS event_time
+  FROM (SELECT *, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM messages))"""
+_FILLED = """
+bronze AS (
+  SELECT * REPLACE (CAST(trunc(CAST(j ->> '$.congestion_level' AS DOUBLE)) AS INTEGER) AS congestion_level,
+                    CAST(trunc(CAST(j ->> '$.traffic_volume' AS DOUBLE)) AS INTEGER) AS traffic_volume)
+  FROM (SELECT *, CASE WHEN json_valid(raw_json) THEN CAST(raw_json AS JSON) END AS j FROM strict_bronze))"""
+
 _BRONZE = """
 bronze AS (
   SELECT raw_json, kafka_timestamp,
@@ -214,6 +243,38 @@ _MIDNIGHT = "REPLACE (CAST(event_date AS TIMESTAMP) AS event_date)"
 _NUMERIC = ("hour", "peak_flag", "traffic_volume_int", "congestion_level_int", "incident_flag_int")
 
 
+def _recovered() -> str:
+    """Both judgements beside each other, for rows of which the second raw table holds more."""
+    def judged(prefix: str) -> str:
+        text = ",".join((_TYPED, _FLAGGED, _VALIDATED))
+        for name in ("validated", "flagged", "typed", "bronze"):
+            text = text.replace(f"{name} AS (", f"{prefix}_{name} AS (").replace(f"FROM {name}", f"FROM {prefix}_{name}")
+        return text
+
+    gained = ("concat_ws(',', CASE WHEN s.congestion_level IS NULL AND f.congestion_level IS NOT NULL THEN 'congestion_level' END, "
+              "CASE WHEN s.traffic_volume IS NULL AND f.traffic_volume IS NOT NULL THEN 'traffic_volume' END)")
+    chain = ",".join((_PAYLOAD, _CHANGED, _STRICT.replace("bronze AS (", "strict_bronze AS (", 1),
+                      _FILLED.replace("bronze AS (", "filled_bronze AS (", 1), judged("strict"), judged("filled")))
+    return f"""WITH {chain}
+    SELECT s.raw_json, s.kafka_timestamp, s.invalid_reason AS former_reason, {gained} AS recovered,
+      f.congestion_level::DOUBLE AS congestion_level, f.traffic_volume::DOUBLE AS traffic_volume, f.invalid_reason, f.dq_flag = 'OK' AS passes
+    FROM strict_validated s JOIN filled_validated f USING (raw_json, kafka_timestamp)
+    WHERE s.dq_flag = 'REJECTED' AND {gained} <> ''"""
+
+
+def _drift() -> str:
+    """Keys and kinds of all payload objects, against the declared ones."""
+    return f"""WITH {_PAYLOAD},{_CHANGED},
+    keys AS (SELECT kafka_timestamp, j, unnest(json_keys(j)) AS key FROM (
+      SELECT kafka_timestamp, CAST(raw_json AS JSON) AS j FROM messages WHERE json_valid(raw_json))),
+    kinds AS (SELECT kafka_timestamp, key, CASE json_type(j, '$.' || key) WHEN 'OBJECT' THEN 'object' WHEN 'VARCHAR' THEN 'text'
+        WHEN 'DOUBLE' THEN 'fraction' ELSE 'whole' END AS kind,
+      CASE WHEN key IN ('congestion_level', 'traffic_volume', 'incident_flag') THEN 'whole'
+           WHEN key IN ('vehicle_id', 'road_id', 'city_zone', 'speed', 'weather', 'event_time') THEN 'text' END AS expected FROM keys)
+    SELECT key, kind, expected, count(*) AS row_count, min(kafka_timestamp) AS first_arrival, max(kafka_timestamp) AS last_arrival
+    FROM kinds WHERE kind IS DISTINCT FROM expected GROUP BY ALL"""
+
+
 def _one_split(*also: str) -> str:
     """Least squared error of any single split of a number over the training rows, which every model must beat."""
     rows = f"(SELECT * FROM train WHERE {_BUCKET} < 8)"
@@ -314,6 +375,8 @@ def oracles() -> dict[str, str]:
                  SELECT date_trunc('millisecond', max(event_ts)) FROM clean
                  WHERE epoch_us(event_ts) % 7 BETWEEN 1 AND 5) - INTERVAL 15 MINUTE""",
             "clean"),
+        "rejected_recovered": _recovered(),
+        "bronze_drift": _drift(),
         "rejected_summary": _sql("SELECT invalid_reason, count(*) AS row_count FROM validated "
                                  "WHERE dq_flag = 'REJECTED' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20", "validated"),
         "profile_tables": _sql(profile, "dims"),

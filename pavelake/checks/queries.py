@@ -35,6 +35,7 @@ from pavelake.operators.quality import (
     with_clean_verdict,
     with_types,
 )
+from pavelake.operators.recovery import drift, rejudged
 from pavelake.operators.star import dimension, fact_rows
 from pavelake.plans import announce, publish, refine, score, train
 from pavelake.schemas import BRONZE, FACT, MESSAGE, SILVER, VALIDATED
@@ -192,6 +193,20 @@ def silver_rejected_split(spark, sf_dir):
     return both.select("raw_json", "kafka_timestamp", "vehicle_id", "event_ts", "invalid_reason", "dq_flag")
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_messages(bindings.drifting_messages(bindings.events_batch(spark, sf_dir)))
+
+
+def rejected_recovered(spark, sf_dir):
+    again = rejudged(rejected_rows(_drifting(spark, sf_dir), now=NOW), now=NOW)
+    return again.select("raw_json", "kafka_timestamp", "former_reason", F.array_join("recovered", ",").alias("recovered"),
+                        "congestion_level", "traffic_volume", "invalid_reason", "passes")
+
+
+def bronze_drift(spark, sf_dir):
+    return drift(_drifting(spark, sf_dir))
+
+
 def silver_dedup(spark, sf_dir):
     return with_clean_verdict(dedup_batch(passing_rows(_bronze(spark, sf_dir, redeliver=True), now=NOW)))
 
@@ -527,6 +542,8 @@ def registered() -> dict[str, Query]:
         "silver_rejected": _with_gaps(silver_rejected),
         "rejected_stream": _with_gaps(rejected_stream),
         "silver_rejected_split": silver_rejected_split,
+        "rejected_recovered": _with_gaps(rejected_recovered),
+        "bronze_drift": bronze_drift,
         "silver_dedup": silver_dedup,
         "silver_features": silver_features,
         "silver_stream": silver_stream,

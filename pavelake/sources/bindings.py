@@ -34,7 +34,7 @@ EVENTS = StructType([
 # Zones by road number, and weather by event type.
 ZONES = ("CBD", "AIRPORT", "TECHPARK", "SUBURB", "TRAINSTATION")
 WEATHER_OF = {"click": "CLEAR", "view": "RAIN", "purchase": "FOG", "signup": "STORM", "error": "CLEAR"}
-TRUNCATED = '{"vehicle_id": "broken-payload", "speed": '
+TRUNCATED = '{"road_id": "R300", "vehicle_id": '
 
 
 def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +92,20 @@ def messages(events: DataFrame, redeliver: bool = False) -> DataFrame:
     return rows.select("value", "timestamp")
 
 
+def drifting_messages(events: DataFrame) -> DataFrame:
+    """Messages of producers that have changed: integers sent as text or with a fraction, a key ``lane`` that is a
+    number or a text, and a key ``unit`` that is an object."""
+    feed = payload(events)
+    text = F.to_json(F.struct(*PAYLOAD.fieldNames()))
+    text = F.when(_every(43), F.regexp_replace(text, r'"congestion_level":(\d+)', '"congestion_level":"$1"')).otherwise(text)
+    text = F.when(_every(47), F.regexp_replace(text, r'"traffic_volume":(\d+)', '"traffic_volume":$1.5')).otherwise(text)
+    lane = F.when(_every(58), F.concat(F.lit(',"lane":'), F.col("event_id") % 4, F.lit("}"))).otherwise(F.lit(',"lane":"left"}'))
+    text = F.when(_every(29), F.concat(F.regexp_replace(text, r"\}$", ""), lane)).otherwise(text)
+    text = F.when(_every(31), F.concat(F.regexp_replace(text, r"\}$", ""), F.lit(',"unit":{"speed":"kmh"}}'))).otherwise(text)
+    text = F.when(_every(101), F.lit(TRUNCATED)).otherwise(text)
+    return feed.select(text.cast("binary").alias("value"), F.col("sent_at").alias("timestamp"))
+
+
 def payload_messages(events: DataFrame) -> DataFrame:
     """Payload columns encoded by the publish operator alone, without truncation."""
     rows = payload(events)
