@@ -7,6 +7,25 @@ from functools import lru_cache
 import numpy as np
 
 U = np.uint64
+_tables: dict[str, list] = {}
+
+
+def table_of(operator: str):
+    """Keep the last value of a function that makes a large table, until a task of another operator runs in the worker."""
+    def cached(make):
+        keeps = lru_cache(1)(make)
+        _tables.setdefault(operator, []).append(keeps)
+        return keeps
+
+    return cached
+
+
+def only(operator: str) -> None:
+    """Let go of the tables that other operators have left in this worker, which is used again from stage to stage."""
+    for other, caches in _tables.items():
+        if other != operator:
+            for cache in caches:
+                cache.cache_clear()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -13,7 +13,6 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,18 +21,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pavelake.llm.arrays import span_hashes
+from pavelake.llm.arrays import only, span_hashes, table_of
 from pavelake.llm.common import pieces, text_or_empty
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BLOCK_BYTES = 8 << 20  # text of one block; a task holds a few times as much
 STRIDE = 1 << 18  # characters that are split at a time
-WORDS_KEPT = 200_000  # words a task remembers the ids of before it starts afresh
+WORDS_KEPT = 50_000  # words a task remembers the ids of before it starts afresh
 LONG_GAP = re.compile(r"\s{10000}")
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
 
 
-@lru_cache(1)
+@table_of("bpe")
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -43,7 +42,7 @@ def _tokenizer(path: str):
     return made
 
 
-@lru_cache(1)
+@table_of("bpe")
 def _classes() -> np.ndarray:
     """Class of each code point. Those that this Python's tables do not know are left to the tokenizer."""
     out = np.zeros(0x110000, np.uint8)
@@ -122,6 +121,7 @@ def _unpacked(value: bytes) -> bytes:
 
 def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row for the texts of a batch that go to one block, compressed together."""
+    only("bpe")
     for batch in batches:
         out = []
         for block, rows in batch.groupby("block", sort=False):
@@ -155,6 +155,7 @@ def _distinct(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]
 
 def _list_words(path: str, buckets: int):
     def words(block: pd.DataFrame) -> pd.DataFrame:
+        only("bpe")
         known: dict[int, str] = {}
         marker = _marker(path)[0]
         for codes, starts, ends, _, joined in (s for texts in _texts(block) for s in _strides(texts, marker)):
@@ -195,7 +196,7 @@ def _encode_words(path: str):
     return encode
 
 
-@lru_cache(1)
+@table_of("bpe")
 def pieces_of(path: str) -> tuple[np.ndarray, np.ndarray]:
     """The id-to-piece table of the vocabulary, by id: bytes of all pieces and where each starts."""
     made = _tokenizer(path)
@@ -219,7 +220,7 @@ def _joined(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
     return _gather(values, begins[ids], begins[ids + 1] - begins[ids]).tobytes()
 
 
-@lru_cache(1)
+@table_of("bpe")
 def _by_rank(path: str):
     """The vocabulary of the file as byte pairs by rank, which another library encodes whole texts by several times faster.
 
@@ -260,7 +261,7 @@ def encoder(path: str = VOCABULARY):
     return encode
 
 
-@lru_cache(1)
+@table_of("bpe")
 def _strings_of(path: str) -> tuple[list[bytes], list[str]]:
     """The piece and the decimals of each id."""
     values, begins = pieces_of(path)

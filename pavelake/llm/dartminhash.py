@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pavelake.llm.arrays import U, as_bytes, batches_of, mix, rolled, span_hashes, word_spans
+from pavelake.llm.arrays import U, as_bytes, batches_of, mix, only, rolled, span_hashes, word_spans
 from pavelake.llm.common import kept, narrow_batches, small, text_or_empty
 from pavelake.llm.components import components
 
@@ -112,6 +112,7 @@ def similarity(a: str | None, b: str | None) -> float:
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    only("dartminhash")
     size = BANDS * ROWS
     for batch in batches:
         found = [elements(t) for t in batch["text"]]

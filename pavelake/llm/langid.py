@@ -10,14 +10,13 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pavelake.llm.arrays import batches_of, side_by_side
+from pavelake.llm.arrays import batches_of, only, side_by_side, table_of
 from pavelake.llm.common import kept, outside, small
 
 ROWS = 400  # labelled rows per language that the automata are made of, at most
@@ -30,7 +29,7 @@ TOO_MANY = 0.5  # phrases after the first, per symbol, from which on a text is i
 UNKNOWN = "und"
 
 
-@lru_cache(1)
+@table_of("langid")
 def _is_letter() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
 
@@ -168,7 +167,7 @@ class Parser:
         return langs, scores, rates
 
 
-@lru_cache(1)
+@table_of("langid")
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(dict(samples))
 
@@ -204,6 +203,7 @@ def identify(docs: DataFrame, learned: tuple[tuple[str, str], ...], text: str =
     with score 0 and rate 1; ties go to the first language by name.
     """
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        only("langid")
         parser = _parser(learned)
         for batch in batches:
             langs, scores, rates = parser.predict([t if isinstance(t, str) else None for t in batch.tolist()])
