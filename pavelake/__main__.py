@@ -6,7 +6,7 @@ import argparse
 
 from pavelake.config import WATERMARK, WINDOW, LakeConfig
 from pavelake.operators.regression import regressors
-from pavelake.plans import announce, ingest, inspect, publish, refine, score, train
+from pavelake.plans import announce, catalog, ingest, inspect, publish, refine, score, train
 from pavelake.session import build_session
 from pavelake.streaming.audit import LateRows
 
@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-files-per-trigger", type=int, default=1000, help="files of one micro-batch; 0: no limit")
     parser.add_argument("--keep-versions-seconds", type=int, default=3600, help="how long replaced table versions stay")
     parser.add_argument("--hive", action="store_true", help="with Hive support")
+    parser.add_argument("--database", help="name the lake's tables in this database of the catalog")
     parser.add_argument("--table", default="silver", choices=sorted(announce.TABLES), help="table to publish")
     parser.add_argument("--with-nulls", action="store_true", help="publish NULL fields as null")
     parser.add_argument("--rows", type=int, default=100, help="rows that inspection shows of a table")
@@ -63,6 +64,9 @@ def main(argv: list[str] | None = None) -> None:
         trigger = {"processingTime": args.every}
     spark = build_session(f"pavelake-{args.job}", args.master, delta=args.format == "delta", hive=args.hive)
     try:
+        if args.database:
+            catalog.register(spark, cfg, args.database)
+            spark.streams.addListener(catalog.Names(spark, cfg, args.database))
         if args.job == "publish":
             announce.run(spark, cfg, trigger, args.table, args.with_nulls)
         elif args.job in STREAMS:
@@ -74,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
         else:
             reader = inspect.inspect_silver if args.job == "inspect-silver" else inspect.inspect_gold
             inspect.show(reader(spark, cfg), args.rows)
+        if args.database:
+            catalog.register(spark, cfg, args.database)
     finally:
         spark.stop()
 

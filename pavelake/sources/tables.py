@@ -72,6 +72,15 @@ def list_versions(spark: SparkSession, path: str, prefix: str = VERSION) -> list
     return sorted(found)
 
 
+def subfolders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders below a path that start so, in order."""
+    fs, folder = _hadoop_path(spark, path)
+    if not fs.exists(folder):
+        return []
+    found = (s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+    return sorted(name for name in found if name.startswith(prefix))
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     fs, folder = _hadoop_path(spark, path)
     return fs.exists(folder) and len(fs.listStatus(folder)) > 0
