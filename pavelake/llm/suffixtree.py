@@ -1,9 +1,14 @@
-"""Language-model scoring with a probabilistic suffix tree over bytes, beside a unigram count over words.
+"""Language-model scoring with a probabilistic suffix tree over words, beside a unigram count.
 
-Contexts of up to DEPTH bytes are kept where they are frequent and where their next-byte distribution diverges from
-that of the context one byte shorter. Each kept context smooths its counts with its parent's distribution. The bytes
-of a text are scored by the longest kept context before each; a word's share among all words in training is mixed
-with what the tree says of its bytes, which is all that is known of a word never seen.
+Contexts are the one or two words before a token. One is kept if it occurs at least SEEN times in training and what
+follows it diverges from what follows any word; the tree of kept contexts grows with the corpus and is nowhere
+gathered: blocks of documents list their words and word runs, the lists are summed and judged by Spark, and each block
+gets back the counts of what it holds. A token is scored by the longest kept context before it, smoothed with the
+distribution of the next shorter one.
+
+The root has no context: the shares of words in training, mixed with a suffix tree over bytes, which is all that is
+known of a word never seen. Of that tree's contexts of up to DEPTH bytes those are kept that are frequent and whose
+next-byte distribution diverges from that of the context one byte shorter.
 """
 
 from __future__ import annotations
@@ -12,17 +17,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pavelake.llm.arrays import as_bytes, batches_of, is_space, side_by_side, span_hashes, word_spans
+from pavelake.llm.arrays import as_bytes, batches_of, is_space, mix, side_by_side, span_hashes, word_spans
 from pavelake.llm.common import kept, outside, pieces, text_or_empty
 
 DEPTH = 4  # bytes of the longest context
 LEAST = 5e-5  # least share of all positions for a context to be kept; so at most 1 / LEAST of each length are
 DIVERGENCE = 0.02  # least relative entropy, in nats, to the parent's distribution
-NEW = 0.1  # weight of the tree in the mixture with the counts of whole words
+NEW = 0.1  # weight of the byte tree in the mixture with the counts of whole words
 PRIOR = 4.0  # weight of the parent's distribution, in observations
+SEEN = 2  # least count in training of a context of words
+GAIN = 0.25  # least divergence of a context of words, in nats a token, after what its description costs
+BUCKETS = 16  # in which the words that follow a context are counted, by hash, to measure its divergence
+JOIN = np.uint64(0x9E3779B97F4A7C15)
 END, BLANK = 10, 32  # symbols of the end of a text (and of what stands before it) and of the gap between words
 BLOCK_BYTES = 16 << 20  # text of one block; a task holds a few times as much
 AT_ONCE = 1 << 20
@@ -175,37 +184,126 @@ def _hashed(texts: list[str]) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
         yield run, np.searchsorted(edges, starts, side="right"), span_hashes(codes, starts, ends)
 
 
+LAST = np.uint64(0x5851F42D4C957F2D)  # stands for the hash of a text's end, which is a token
+FOUR = np.uint64(4)  # bits of a bucket; the other 60 bits of a word's hash tell the word
+
+
+def _tokens(texts: list[str]) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of texts: (rows, symbol and bucket of each token, text number of each, whether it is its text's first)."""
+    for run, text, hashes in _hashed(texts):
+        each = np.bincount(text, minlength=len(run)) if len(text) else np.zeros(len(run), np.int64)
+        full = np.full(len(text) + len(run), LAST)
+        full[np.arange(len(text)) + text] = hashes
+        owner = np.repeat(np.arange(len(run)), each + 1)
+        first = np.concatenate([[True], owner[1:] != owner[:-1]])
+        yield run, full >> FOUR, full & np.uint64(BUCKETS - 1), owner, first
+
+
+def _longer(symbols: np.ndarray, first: np.ndarray, at: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts that end at the places `at`, made longer by the next token: (its places, the longer runs' symbols)."""
+    inside = at + 1 < len(symbols)
+    inside[inside] = ~first[at[inside] + 1]
+    place = at[inside] + 1
+    return place, mix(context[inside] * JOIN + symbols[place]) >> FOUR
+
+
+def _follow(buckets: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bucket of the token after each place; 0 after a text's last."""
+    follow = np.append(np.where(first, np.uint64(0), buckets)[1:], np.uint64(0))
+    return follow[at]
+
+
+class _Sums:
+    """Counts by run of words and bucket of what follows, as one number whose lowest four bits are the bucket."""
+
+    def __init__(self):
+        self.codes, self.n = np.zeros(0, np.uint64), np.zeros(0)
+
+    def add(self, symbols: np.ndarray, buckets: np.ndarray, learn: np.ndarray) -> None:
+        codes = np.concatenate([self.codes, (symbols << FOUR) | buckets])
+        self.codes, where = np.unique(codes, return_inverse=True)
+        self.n = np.bincount(where, weights=np.concatenate([self.n, learn]), minlength=len(self.codes))
+
+    def rows(self, block: int) -> pd.DataFrame:
+        """(block, gram, follow, n, once): one row of each run is marked; of runs not learned from it is the only one."""
+        symbols = self.codes >> FOUR
+        once = np.concatenate([np.ones(min(1, len(symbols)), bool), symbols[1:] != symbols[:-1]])
+        total = np.bincount(np.cumsum(once) - 1, weights=self.n)[np.cumsum(once) - 1] if len(symbols) else self.n
+        wanted = (self.n > 0) | (once & (total == 0))
+        symbols, n, follow = symbols[wanted], self.n[wanted], (self.codes & np.uint64(BUCKETS - 1))[wanted]
+        once = np.concatenate([np.ones(min(1, len(symbols)), bool), symbols[1:] != symbols[:-1]])
+        return pd.DataFrame({"block": np.full(len(n), block, np.int32), "gram": symbols.view(np.int64),
+                             "follow": follow.astype(np.int8), "n": n.astype(np.int64), "once": once})
+
+
+LISTED = "block int, gram long, follow byte, n long, once boolean"
+
+
 def _list_words(block: pd.DataFrame) -> pd.DataFrame:
-    """Distinct words of a block, as hashes, with their count in its training texts."""
-    found, counts = np.zeros(0, np.uint64), np.zeros(0)
-    learn = block["learn"].to_numpy(bool)
-    for run, text, hashes in _hashed(block["text"].tolist()):
-        new, where = np.unique(np.concatenate([found, hashes]), return_inverse=True)
-        weights = np.concatenate([counts, learn[run.start: run.stop][text]])
-        found, counts = new, np.bincount(where, weights=weights, minlength=len(new))
-    return pd.DataFrame({"block": block["block"].iloc[0], "word": found.view(np.int64), "n": counts.astype(np.int64)})
+    """Words of a block, with how often what follows them in its training texts falls into each bucket."""
+    sums, learn = _Sums(), block["learn"].to_numpy(bool)
+    for run, symbols, buckets, owner, first in _tokens(block["text"].tolist()):
+        at = np.flatnonzero(symbols != LAST >> FOUR)
+        sums.add(symbols[at], _follow(buckets, first, at), learn[run.start: run.stop][owner[at]])
+    return sums.rows(int(block["block"].iloc[0]))
+
+
+def _list_longer(block: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+    """Runs of two words that begin with a kept context, and of three that go on from those."""
+    if not len(block) or not len(counted):
+        return _Sums().rows(0)
+    sums, learn, table = _Sums(), block["learn"].to_numpy(bool), _Counted(counted)
+    for run, symbols, buckets, owner, first in _tokens(block["text"].tolist()):
+        at = np.flatnonzero(table.of(symbols)[1])
+        two, pairs = _longer(symbols, first, at, symbols[at])
+        three, triples = _longer(symbols, first, two, pairs)
+        learned = learn[run.start: run.stop]
+        sums.add(np.concatenate([pairs, triples]), np.concatenate([_follow(buckets, first, two), np.zeros(len(three), np.uint64)]),
+                 learned[owner[np.concatenate([two, three])]])
+    return sums.rows(int(block["block"].iloc[0]))
+
+
+class _Counted:
+    """Counts in training of the words and runs that a block holds, and which of them are kept contexts."""
+
+    def __init__(self, counted: pd.DataFrame):
+        grams = counted["gram"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(grams)
+        # a last entry that no symbol of 60 bits equals
+        self.grams = np.append(grams[order], np.uint64(2**64 - 1))
+        self.c = np.append(counted["c"].to_numpy(np.float64)[order], 0.0)
+        self.keep = np.append(counted["keep"].to_numpy(bool)[order], False)
+
+    def of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.grams, symbols)
+        found = self.grams[at] == symbols
+        return np.where(found, self.c[at], 0.0), found & self.keep[at]
 
 
 def _score_block(tree, tokens: int, texts_learned: int):
     def score(block: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        texts = block["text"].tolist()
-        words = counted["word"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(words)
-        words, c = words[order], counted["c"].to_numpy(np.float64)[order]
+        texts, table = block["text"].tolist(), _Counted(counted)
         n_words, n_known, logs, scores = (np.zeros(len(texts)) for _ in range(4))
-        for run, text, hashes in _hashed(texts):
-            count = c[np.searchsorted(words, hashes)] if len(hashes) else np.zeros(0)
+        for run, symbols, _, owner, first in _tokens(texts):
             rows = slice(run.start, run.stop)
-            n_words[rows] = np.bincount(text, minlength=len(run))
-            n_known[rows] = np.bincount(text, weights=count > 0, minlength=len(run))
-            logs[rows] = np.bincount(text, weights=np.log10(count + 0.5), minlength=len(run))
-            # the words of each text, then its end
-            place = np.arange(len(text)) + text
-            share = np.full(len(text) + len(run), texts_learned / max(1, tokens))
-            share[place] = count / max(1, tokens)
-            owner = np.repeat(np.arange(len(run)), n_words[rows].astype(np.int64) + 1)
-            mixed = np.log10((1 - NEW) * share + NEW * 10.0 ** tree.value.word_logs([texts[i] for i in run]))
-            scores[rows] = np.bincount(owner, weights=mixed, minlength=len(run))
+            word = symbols != LAST >> FOUR
+            count, keep = table.of(symbols)
+            n_words[rows] = np.bincount(owner, weights=word, minlength=len(run))
+            n_known[rows] = np.bincount(owner, weights=word & (count > 0), minlength=len(run))
+            logs[rows] = np.bincount(owner, weights=np.where(word, np.log10(count + 0.5), 0), minlength=len(run))
+            # root: the words of each text, then its end
+            share = np.where(word, count, texts_learned) / max(1, tokens)
+            p = (1 - NEW) * share + NEW * 10.0 ** tree.value.word_logs([texts[i] for i in run])
+            # then by the longest kept context, each smoothed with the one shorter
+            at = np.flatnonzero(keep)
+            two, pairs = _longer(symbols, first, at, symbols[at])
+            seen, kept_pair = table.of(pairs)
+            p[two] = (seen + PRIOR * p[two]) / (count[two - 1] + PRIOR)
+            three, triples = _longer(symbols, first, two[kept_pair], pairs[kept_pair])
+            of_pair = np.zeros(len(symbols))
+            of_pair[two] = seen
+            p[three] = (table.of(triples)[0] + PRIOR * p[three]) / (of_pair[three - 1] + PRIOR)
+            scores[rows] = np.bincount(owner, weights=np.log10(p), minlength=len(run))
         own = counted["own"].to_numpy(bool)
         docs = pd.DataFrame({"total": False, "key": block["key"], "held": block["held"], "n_words": n_words.astype(np.int64),
                              "n_known": n_known.astype(np.int64), "logs": logs, "score": scores,
@@ -218,15 +316,34 @@ def _score_block(tree, tokens: int, texts_learned: int):
     return score
 
 
+def _judged(listed: DataFrame, shares: DataFrame) -> DataFrame:
+    """(block, gram, c, keep, own) for each block and run it lists: its count in training, and whether it is kept.
+
+    The divergence is the relative entropy of the buckets that follow to those that follow any word, after the cost of
+    naming the buckets in use. All rows of a run are in one partition of `listed`, one row a block and bucket; they are
+    summed as they stream by and met again by a merge, so no group is held.
+    """
+    by_bucket = listed.groupBy("gram", "follow").agg(F.sum("n").alias("n"), F.min("block").alias("block"))
+    gain = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.coalesce("share", F.lit(1.0))))
+    summed = by_bucket.join(F.broadcast(shares), "follow", "left").groupBy("gram").agg(
+        F.sum("n").alias("c"), F.sum(gain).alias("gain"), F.count_if(F.col("n") > 0).alias("used"), F.min("block").alias("least"))
+    excess = F.col("gain") - F.col("c") * F.log("c") - F.col("used") * float(np.log(BUCKETS))
+    keep = (F.col("c") >= SEEN) & (excess >= GAIN * F.col("c"))
+    judged = summed.select("gram", "c", F.coalesce(keep, F.lit(False)).alias("keep"), "least")
+    return listed.where("once").select("block", "gram").join(judged.hint("merge"), "gram").select(
+        "block", "gram", "c", "keep", (F.col("block") == F.col("least")).alias("own"))
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int = 5, part: int = 1) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
-    Tree and counts are learned from all rows outside the named part of the key's hash; rows with a null key are
+    Trees and counts are learned from all rows outside the named part of the key's hash; rows with a null key are
     scored but not learned from. Tokens are the words in lower case and one end per text. A null text is empty: one
-    end. Equal rows are scored each, and learned from each. Words are told apart by 64-bit hashes.
+    end. Equal rows are scored each, and learned from each. Words and runs of words are told apart by 60-bit hashes.
 
     Each block of documents lists its distinct words once; counts are summed by word over the blocks and go back to
-    them. The tree has at most DEPTH / LEAST kept contexts whatever the corpus, so it is broadcast.
+    them, then the same for the runs that follow kept contexts. The byte tree has at most DEPTH / LEAST kept contexts
+    whatever the corpus, so it is broadcast; the contexts of words have no bound and stay dealt out.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), text_or_empty(text).alias("text"), outside(key, parts, part).alias("learn"))
@@ -236,11 +353,14 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int =
     tree = docs.sparkSession.sparkContext.broadcast(Tree(counts))
     blocks = pieces(rows, "text", BLOCK_BYTES)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).cast("int"))
-    listed = dealt.groupBy("block").applyInPandas(_list_words, "block int, word long, n long")
-    # one row per block and word, so a word in every text has as many rows as there are blocks
-    same = Window.partitionBy("word")
-    counted = listed.select("block", "word", F.sum("n").over(same).alias("c"),
-                            (F.row_number().over(same.orderBy("block")) == 1).alias("own"))
+    listed = dealt.groupBy("block").applyInPandas(_list_words, LISTED).repartition("gram")
+    # sixteen rows; one more of each, so that no share is nothing
+    shares = listed.groupBy("follow").agg(F.sum("n").alias("n"))
+    shares = shares.select("follow", ((F.col("n") + 1) / F.lit(ends[BLANK] + BUCKETS)).alias("share"))
+    words = _judged(listed, shares)
+    longer = dealt.groupBy("block").cogroup(words.where("keep").groupBy("block")).applyInPandas(_list_longer, LISTED)
+    runs = _judged(longer.repartition("gram"), shares).where("c > 0").withColumn("own", F.lit(False))
+    counted = words.unionByName(runs)
     scored = kept(dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
         _score_block(tree, sum(ends.values()), ends[END]), f"total boolean, key {kind}, held boolean, n_words long, n_known long, logs double, "
                             "score double, tokens long, distinct long"))

@@ -428,6 +428,76 @@ def test_lm_scores_against_plain_counts(spark):
     assert suffixtree.score(frame(spark, [])).count() == 0
 
 
+def test_lm_scores_equal_brute_force(spark):
+    """Contexts, divergence tests and smoothing over words by dictionaries; the byte tree is compared below."""
+    phrases = [" ".join(f"p{k}q{j % 5}" for j in range(12)) for k in range(12)]
+    rng = random.Random(9)
+    rows = [(d, " ".join([prose(d, 15), rng.choice(phrases), prose(d + 500, 5), rng.choice(phrases)])) for d in range(80)]
+    rows += [(200, rows[0][1]), (201, ""), (202, "AB cd"), (203, None), (204, "never seen words"), (None, rows[1][1])]
+    found = {r.doc_id: r.score for r in suffixtree.score(frame(spark, rows)).collect()}
+    learned = [t or "" for d, t in rows if d is not None and zlib.crc32(str(d).encode()) % 5 != 1]
+    split = lambda t: (t or "").lower().split() + [None]
+    buckets = {}
+    for _, t in rows:
+        _, _, b, _, _ = next(suffixtree._tokens([t or ""]))
+        buckets.update(zip(split(t), b.tolist()))
+    counts, follow = collections.Counter(), collections.defaultdict(collections.Counter)
+    for w in map(split, learned):
+        for size in (1, 2, 3):
+            for i in range(len(w) - size + 1):
+                gram = tuple(w[i: i + size])
+                counts[gram] += 1
+                if size < 3:
+                    follow[gram][buckets[w[i + size]] if i + size < len(w) else 0] += 1
+    words = sum(n for g, n in counts.items() if len(g) == 1 and g[0])
+    share = collections.Counter()
+    for gram in follow:
+        if len(gram) == 1 and gram[0]:
+            share.update(follow[gram])
+
+    def keep(gram):
+        n = counts[gram]
+        if n < suffixtree.SEEN:
+            return False
+        gain = sum(m * math.log(m / ((share[b] + 1) / (words + 16)) / n) for b, m in follow[gram].items())
+        return gain - len(follow[gram]) * math.log(16) >= suffixtree.GAIN * n
+
+    tree = suffixtree.Tree(suffixtree.grow(spark.createDataFrame([(t,) for t in learned], "text string")))
+    total, used = words + len(learned), collections.Counter()
+    for d, t in rows:
+        w, spelt, score = split(t), tree.word_logs([t or ""]), 0.0
+        for i, x in enumerate(w):
+            p = (1 - suffixtree.NEW) * counts[x,] / total + suffixtree.NEW * 10 ** spelt[i]
+            if i and keep((w[i - 1],)):
+                used[1] += 1
+                p = (counts[w[i - 1], x] + suffixtree.PRIOR * p) / (counts[w[i - 1],] + suffixtree.PRIOR)
+            if i > 1 and keep((w[i - 2],)) and keep((w[i - 2], w[i - 1])):
+                used[2] += 1
+                p = (counts[w[i - 2], w[i - 1], x] + suffixtree.PRIOR * p) / (counts[w[i - 2], w[i - 1]] + suffixtree.PRIOR)
+            score += math.log10(p)
+        assert found[d] == pytest.approx(score, abs=1e-7)
+    assert used[1] > 100 and used[2] > 100
+
+
+def test_lm_scores_on_odd_rows_and_copies(spark):
+    """Repeated rows are scored alike, long texts whole; a text learned twice is likelier than one learned never."""
+    long = prose(31, 30_000)
+    rows = [*ODD, (20, long), (21, long + " tail"), (None, None), (20, long)]
+    found = suffixtree.score(frame(spark, rows)).collect()
+    assert collections.Counter(r.doc_id for r in found) == collections.Counter(d for d, _ in rows)
+    assert len({r.score for r in found if r.doc_id == 20}) == len({r.score for r in found if r.doc_id == 8}) == 1
+    assert all(math.isfinite(r.score) and r.score < 0 for r in found)
+    odd = {d: t for d, t in rows}
+    assert all(r.n_tokens == len((odd[r.doc_id] or "").split()) + 1 for r in found if r.doc_id in (1, 2, 3, 20, 21))
+    vocabulary = [f"w{i}" for i in range(3_000)]
+    text = lambda seed: " ".join(random.Random(seed).choices(vocabulary, k=200))
+    other = [(d, text(d)) for d in range(100, 160)]
+    twice = [d for d in (10, 11, 12, 13, 14, 15) if zlib.crc32(str(d).encode()) % 5 != 1][:2]
+    unseen = next(d for d in range(50, 90) if zlib.crc32(str(d).encode()) % 5 == 1)
+    scores = {r.doc_id: r.score for r in suffixtree.score(frame(spark, [*other, *((d, text(7)) for d in twice), (unseen, text(8))])).collect()}
+    assert scores[twice[0]] == scores[twice[1]] > scores[unseen] + 100
+
+
 def test_tree_scores_equal_a_direct_search_of_the_longest_context(spark):
     texts = [t for _, t, _ in languages(60)]
     tree = suffixtree.Tree(suffixtree.grow(spark.createDataFrame([(t,) for t in texts], "text string")))
