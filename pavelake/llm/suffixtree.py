@@ -225,18 +225,19 @@ class _Sums:
         self.n = np.bincount(where, weights=np.concatenate([self.n, learn]), minlength=len(self.codes))
 
     def rows(self, block: int) -> pd.DataFrame:
-        """(block, gram, follow, n, once): one row of each run is marked; of runs not learned from it is the only one."""
+        """(gram, at): one row of each run is marked `once`; of a run not learned from it is the only one."""
         symbols = self.codes >> FOUR
         once = np.concatenate([np.ones(min(1, len(symbols)), bool), symbols[1:] != symbols[:-1]])
         total = np.bincount(np.cumsum(once) - 1, weights=self.n)[np.cumsum(once) - 1] if len(symbols) else self.n
         wanted = (self.n > 0) | (once & (total == 0))
-        symbols, n, follow = symbols[wanted], self.n[wanted], (self.codes & np.uint64(BUCKETS - 1))[wanted]
+        symbols, n, follow = symbols[wanted], self.n[wanted].astype(np.int64), (self.codes & np.uint64(BUCKETS - 1))[wanted]
         once = np.concatenate([np.ones(min(1, len(symbols)), bool), symbols[1:] != symbols[:-1]])
-        return pd.DataFrame({"block": np.full(len(n), block, np.int32), "gram": symbols.view(np.int64),
-                             "follow": follow.astype(np.int8), "n": n.astype(np.int64), "once": once})
+        at = (np.int64(block) << 35) | (n << 5) | (follow.astype(np.int64) << 1) | once
+        return pd.DataFrame({"gram": symbols.view(np.int64), "at": at})
 
 
-LISTED = "block int, gram long, follow byte, n long, once boolean"
+LISTED = "gram long, at long"  # at: 28 bits for the block, 30 for the count, 4 for the bucket, 1 for once
+BLOCK, COUNT, FOLLOW, ONCE = "at >> 35", f"(at >> 5) & {(1 << 30) - 1}", "(at >> 1) & 15", "at & 1"
 
 
 def _list_words(block: pd.DataFrame) -> pd.DataFrame:
@@ -323,15 +324,24 @@ def _judged(listed: DataFrame, shares: DataFrame) -> DataFrame:
     naming the buckets in use. All rows of a run are in one partition of `listed`, one row a block and bucket; they are
     summed as they stream by and met again by a merge, so no group is held.
     """
-    by_bucket = listed.groupBy("gram", "follow").agg(F.sum("n").alias("n"), F.min("block").alias("block"))
+    by_bucket = listed.groupBy("gram", F.expr(FOLLOW).alias("follow")).agg(
+        F.sum(F.expr(COUNT)).alias("n"), F.min(F.expr(BLOCK)).alias("block"))
     gain = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.coalesce("share", F.lit(1.0))))
     summed = by_bucket.join(F.broadcast(shares), "follow", "left").groupBy("gram").agg(
         F.sum("n").alias("c"), F.sum(gain).alias("gain"), F.count_if(F.col("n") > 0).alias("used"), F.min("block").alias("least"))
     excess = F.col("gain") - F.col("c") * F.log("c") - F.col("used") * float(np.log(BUCKETS))
     keep = (F.col("c") >= SEEN) & (excess >= GAIN * F.col("c"))
     judged = summed.select("gram", "c", F.coalesce(keep, F.lit(False)).alias("keep"), "least")
-    return listed.where("once").select("block", "gram").join(judged.hint("merge"), "gram").select(
-        "block", "gram", "c", "keep", (F.col("block") == F.col("least")).alias("own"))
+    met = listed.join(judged.hint("merge"), "gram").withColumn("block", F.expr(BLOCK))
+    # no block is before the least; said of both sides, this is not pushed below the one shuffle that all readers share
+    met = met.where(F.expr(ONCE) * (F.col("block") - F.col("least") + 1) > 0)
+    return met.select(F.col("block").cast("int").alias("block"), "gram", "c", "keep", (F.col("block") == F.col("least")).alias("own"))
+
+
+def _by_gram(listed: DataFrame) -> DataFrame:
+    """Dealt out by run. Readers take both columns and neither can be null, so no filter is put below the shuffle and
+    they all share it."""
+    return listed.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in ("gram", "at")]).repartition("gram")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int = 5, part: int = 1) -> DataFrame:
@@ -353,13 +363,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", parts: int =
     tree = docs.sparkSession.sparkContext.broadcast(Tree(counts))
     blocks = pieces(rows, "text", BLOCK_BYTES)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("key", "text"), F.lit(blocks)).cast("int"))
-    listed = dealt.groupBy("block").applyInPandas(_list_words, LISTED).repartition("gram")
+    listed = _by_gram(dealt.groupBy("block").applyInPandas(_list_words, LISTED))
     # sixteen rows; one more of each, so that no share is nothing
-    shares = listed.groupBy("follow").agg(F.sum("n").alias("n"))
+    shares = listed.groupBy(F.expr(FOLLOW).alias("follow")).agg(F.sum(F.expr(COUNT)).alias("n"))
     shares = shares.select("follow", ((F.col("n") + 1) / F.lit(ends[BLANK] + BUCKETS)).alias("share"))
     words = _judged(listed, shares)
     longer = dealt.groupBy("block").cogroup(words.where("keep").groupBy("block")).applyInPandas(_list_longer, LISTED)
-    runs = _judged(longer.repartition("gram"), shares).where("c > 0").withColumn("own", F.lit(False))
+    runs = _judged(_by_gram(longer), shares).where("c > 0").withColumn("own", F.lit(False))
     counted = words.unionByName(runs)
     scored = kept(dealt.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
         _score_block(tree, sum(ends.values()), ends[END]), f"total boolean, key {kind}, held boolean, n_words long, n_known long, logs double, "
