@@ -280,7 +280,7 @@ def test_contained_items(spark):
 
 
 def test_licences(spark):
-    mit = dict((n, t) for n, t in licenses.TEMPLATES if n == "MIT")["MIT"]
+    mit = max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len)
     block = mit.replace("furnished", "provided").replace(", ", ",\n")
     rows = [(1, "the first line is here\nReleased under the MIT license!\nand here is the last"), (2, f"intro\n\n{block}\n\nend"), (3, "Released under the moon."), *ODD]
     found = {(r.doc_id, r.unit, r.place): r for r in licenses.scan(frame(spark, rows)).collect()}
@@ -290,6 +290,15 @@ def test_licences(spark):
     assert licenses.scan(frame(spark, rows), licenses.templates(spark).limit(0)).count() == 0
 
 
+def test_licences_and_versions_are_told_apart(spark):
+    """Every template as a line, in capitals and without its last word where it is long, is its own licence."""
+    rows = []
+    for i, (_, text) in enumerate(licenses.TEMPLATES):
+        rows += [(2 * i, f"before\n{text.upper()}\nafter"), (2 * i + 1, text.rsplit(" ", 1)[0] if len(text.split()) > 30 else text)]
+    found = {r.doc_id: r.license_id for r in licenses.scan(frame(spark, rows)).collect() if r.unit == "line"}
+    assert found == {d: licenses.TEMPLATES[d // 2][0] for d, _ in rows}
+
+
 # -- secrets --------------------------------------------------------------------------------------
 
 
