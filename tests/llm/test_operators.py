@@ -616,4 +616,4 @@ def test_queries_and_sql_have_the_same_names():
     from pavelake.llm import queries
 
     assert queries.oracles().keys() <= queries.registered().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered()) == list(range(1, 14))
