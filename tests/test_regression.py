@@ -209,3 +209,48 @@ def test_no_fit_holds_a_frame_that_grows_with_the_fact_table(spark, rows):
         small = regression.collapse(regression.labelled(regression.with_split(regression.training_rows(many))), "label")
         seen.append((small.count(), small.agg(F.sum(regression.WEIGHT)).first()[0] / copies, small.select(ensembles.ROW_ID).distinct().count()))
     assert seen[0] == seen[1] and seen[0][0] == seen[0][2]
+
+
+def test_numbers_drawn_for_the_forest_are_those_of_the_column(spark):
+    from pavelake.operators.ensembles import poisson_numbers, uniform
+
+    for mean in (0.5, 1.0, 49.0, 51.0, 5_000.0):
+        key = (F.col("id"), F.lit(7))
+        got = spark.range(5_000).select(poisson(F.lit(mean), *key).alias("k"), *[uniform(*key, F.lit(x)).alias(x) for x in "uv"]).toPandas()
+        numbers = poisson_numbers(np.full(5_000, mean), got.u.to_numpy()[:, None], got.v.to_numpy()[:, None])
+        assert (numbers[:, 0] == got.k.to_numpy()).mean() > 0.999  # logarithms and cosines may differ in the last bit
+
+
+def counted_jobs(spark, group, work):
+    """Runs the work and counts its Spark jobs."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_forest_takes_no_job_for_every_tree(spark, framed):
+    """All trees grow together: ten times the trees are as many jobs, and the first trees are the same ones."""
+    rows = framed.withColumn("row_id", F.xxhash64(*regression.FEATURES, "label", "vehicle_id"))
+    (few, jobs), (many, more) = (
+        counted_jobs(spark, f"forest of {n}", lambda n=n: regression.regressors(forest_trees=n)["Random Forest"].fit(rows)) for n in (3, 30))
+    assert 0 < more < jobs + 6
+    assert [t.toDebugString.split("\n", 1)[1] for t in few.trees] == [t.toDebugString.split("\n", 1)[1] for t in many.trees[:3]]
+
+
+def test_large_nodes_split_by_all_tasks_give_the_same_trees(spark, framed):
+    rows = framed.withColumn("row_id", F.xxhash64(*regression.FEATURES, "label", "vehicle_id"))
+    found = []
+    for node_rows in (10_000, 20):
+        forest = regression.regressors(forest_trees=4)["Random Forest"]
+        forest.node_rows = node_rows
+        found.append([t.toDebugString.split("\n", 1)[1] for t in forest.fit(rows).trees])
+    assert found[0] == found[1]
+
+
+def test_a_round_of_boosting_is_a_job_a_level(spark, framed):
+    """Depth 3, so three jobs a round, and one now and then to store what is left."""
+    (_, jobs), (_, more) = (
+        counted_jobs(spark, f"{n} rounds", lambda n=n: regression.regressors(boosting_rounds=n)["Gradient Boosting"].fit(framed)) for n in (1, 21))
+    assert 0 < more - jobs <= 3 * 20 + 2 + 4
