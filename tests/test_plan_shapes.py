@@ -5,13 +5,17 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from pavelake.checks import queries
 from pavelake.operators import regression, reports
 from pavelake.operators.dedup import dedup_batch
 from pavelake.operators.hourly import zone_hourly
 from pavelake.operators.quality import clean_rows, passing_rows
 from pavelake.operators.star import dimension, fact_rows
 from pavelake.schemas import BRONZE, FACT, MESSAGE, SILVER
+from pavelake.session import setting
+from pavelake.sources import bindings
 from pavelake.sources.messages import decode_messages
+from pavelake.sources.tables import stream_table
 from pavelake.streaming.dimensions import add_new_keys
 
 
@@ -44,6 +48,20 @@ def test_messages_are_parsed_once_whatever_is_filtered(tables):
     assert plan(clean_rows(decode_messages(tables["messages"]))).count("from_json") == 1
 
 
+def test_messages_are_written_once_whatever_is_filtered(spark, tmp_path):
+    spark.createDataFrame([], bindings.EVENTS).write.parquet(str(tmp_path / "events.parquet"))
+    text = plan(clean_rows(decode_messages(bindings.messages(bindings.events_batch(spark, str(tmp_path))))))
+    assert text.count("StructsToJsonEvaluator") == 1
+
+
+def test_one_row_group_is_parsed_by_many_tasks(spark, tmp_path):
+    rows = [(i, None, i, "view", 50.0, '{"k": 7}') for i in range(4000)]
+    spark.createDataFrame(rows, bindings.EVENTS).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        tasks = queries.bronze_parse(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and max(n for _, n in tasks) < 2000
+
+
 def test_dedup_thins_copies_before_the_shuffle(tables):
     text = plan(dedup_batch(passing_rows(tables["bronze"])))
     before, after = text.index("WindowGroupLimit"), text.rindex("WindowGroupLimit")
@@ -92,3 +110,19 @@ def test_new_dimension_keys_are_distinct_before_the_join(spark, tables, lake):
     keys = spark.createDataFrame([("CBD",)] * 50, "city_zone string")
     add_new_keys(keys, 0, "dim_zone", path)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_many_dates_are_listed_by_few_tasks(spark, lake):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, sc = spark.conf.get(name), spark.sparkContext
+    rows = spark.range(40).selectExpr("id", "id AS day")
+    rows.write.partitionBy("day").parquet(lake)
+    sc.setJobGroup("listing", "")
+    try:
+        stream_table(spark, lake, rows.schema)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s).numTasks > 16] == []
+    assert stages and spark.conf.get(name) == before
