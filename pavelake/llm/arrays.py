@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import time
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
+TRIM_AFTER = 1.0  # seconds between two times that a worker gives back memory it has no use for
 _tables: dict[str, list] = {}
+_trimmed = [0.0]
 
 
 def table_of(operator: str):
@@ -20,12 +25,33 @@ def table_of(operator: str):
     return cached
 
 
-def only(operator: str) -> None:
-    """Let go of the tables that other operators have left in this worker, which is used again from stage to stage."""
+def only(*operators: str) -> None:
+    """Let go of the tables that other operators have left in this worker, which is used again from stage to stage.
+
+    What they and earlier batches have freed goes back to the system, or else a worker stays as large as it ever was.
+    """
+    left = False
     for other, caches in _tables.items():
-        if other != operator:
+        if other not in operators:
             for cache in caches:
+                left = left or cache.cache_info().currsize > 0
                 cache.cache_clear()
+    if left or time.monotonic() - _trimmed[0] > TRIM_AFTER:
+        give_back()
+
+
+@lru_cache(1)
+def _trim():
+    """The C library's call to return freed pages; None where it has none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return the pages that Arrow and the C library hold free."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+    _trimmed[0] = time.monotonic()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -17,6 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from pavelake.llm.common import pieces, text_or_empty
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BLOCK_BYTES = 8 << 20  # text of one block; a task holds a few times as much
 STRIDE = 1 << 18  # characters that are split at a time
+IDS_AT_ONCE = 1 << 18  # ids that are handed on at a time, in whole texts
 WORDS_KEPT = 50_000  # words a task remembers the ids of before it starts afresh
 LONG_GAP = re.compile(r"\s{10000}")
 OTHER, LETTER, NUMBER, SPACE, UNKNOWN = range(5)
@@ -130,7 +133,7 @@ def _pack_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["block", "keys", "sizes", "texts"])
 
 
-def _texts(block: pd.DataFrame) -> Iterator[list[str]]:
+def _texts(block: pd.DataFrame | dict[str, list[bytes]]) -> Iterator[list[str]]:
     """The texts of each row of a block."""
     for sizes, texts in zip(block["sizes"], block["texts"]):
         ends, whole = np.cumsum(np.frombuffer(_unpacked(sizes), np.int64)).tolist(), _unpacked(texts)
@@ -179,6 +182,7 @@ def _encode_words(path: str):
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fast, known = encoder(path), {}
         for batch in batches:
+            only("bpe ranks", "bpe")
             sizes, ids = [], []
             for lengths, joined in zip(batch["sizes"], batch["words"]):
                 ends, joined = np.cumsum(np.frombuffer(_unpacked(lengths), np.int32)).tolist(), _unpacked(joined)
@@ -220,7 +224,7 @@ def _joined(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> bytes:
     return _gather(values, begins[ids], begins[ids + 1] - begins[ids]).tobytes()
 
 
-@table_of("bpe")
+@table_of("bpe ranks")
 def _by_rank(path: str):
     """The vocabulary of the file as byte pairs by rank, which another library encodes whole texts by several times faster.
 
@@ -269,9 +273,21 @@ def _strings_of(path: str) -> tuple[list[bytes], list[str]]:
     return [raw[a:b] for a, b in zip(ends, ends[1:])], [str(i) for i in range(len(ends) - 1)]
 
 
+def _batch(done: list[tuple], wanted: tuple[str, ...], keys: pa.Array) -> pa.RecordBatch:
+    """What was made of a few texts, as Arrow columns."""
+    def column(name: str, values: tuple) -> pa.Array:
+        if name != "ids":
+            return pa.array(values, pa.int64() if KINDS[name] == "long" else pa.string())
+        ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values).astype(np.int32, copy=False)))
+
+    return pa.RecordBatch.from_arrays([keys, *map(column, wanted, zip(*done))], ["key", *wanted])
+
+
 def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
     """Ids, decoded texts or their digests, of the texts of a block. Words are told twice, stride by stride: first for
-    the order in which the block listed them, then to place their ids; so no more than a stride's words are held."""
+    the order in which the block listed them, then to place their ids; so no more than a stride's words are held. Results
+    become Arrow batches of a few texts, so that neither this worker nor Spark holds those of a block twice."""
     def finish(text: str, row: np.ndarray, sure: bool) -> tuple:
         pieces_by_id, decimals = _strings_of(path)
         ids, whole = row.tolist(), text.encode("utf-8", "surrogatepass")
@@ -286,16 +302,21 @@ def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
                  "decoded_sha256": lambda: hashlib.sha256(decoded.encode()).hexdigest()}
         return tuple(given[w]() for w in wanted)
 
-    def place(block: pd.DataFrame, encoded: pd.DataFrame) -> pd.DataFrame:
+    def place(dealt: pa.Table, encoded: pa.Table) -> pa.Table:
+        only("bpe")
         marker, marker_id = _marker(path)
-        encoded = encoded.sort_values("bucket")
-        sizes = np.frombuffer(b"".join(map(_unpacked, encoded["sizes"])), np.int32).astype(np.int64)
-        ids = np.frombuffer(b"".join(map(_unpacked, encoded["ids"])), np.int32)
+        keys = pc.list_flatten(dealt["keys"]).combine_chunks()
+        if pa.types.is_timestamp(keys.type) and keys.type.tz:
+            keys = keys.cast(pa.timestamp("us", "UTC"))
+        block = {name: dealt[name].to_pylist() for name in ("sizes", "texts")}
+        encoded = encoded.sort_by("bucket")
+        sizes = np.frombuffer(b"".join(map(_unpacked, encoded["sizes"].to_pylist())), np.int32).astype(np.int64)
+        ids = np.frombuffer(b"".join(map(_unpacked, encoded["ids"].to_pylist())), np.int32)
         begins = np.cumsum(sizes) - sizes
         found = [np.unique(span_hashes(codes, starts, ends)) for texts in _texts(block) for codes, starts, ends, _, _ in _strides(texts, marker)]
         listed, _ = _distinct(np.concatenate(found) if found else np.zeros(0, np.uint64), buckets)
         order = np.argsort(listed)
-        listed, done = listed[order], []
+        listed, done, held, given, batches = listed[order], [], 0, 0, []
         for texts in _texts(block):
             out: list[list[np.ndarray]] = [[] for _ in texts]
             first = 0
@@ -312,10 +333,15 @@ def _place_ids(path: str, buckets: int, wanted: tuple[str, ...]):
                 unknown = np.flatnonzero(_classes()[codes] == UNKNOWN)
                 strange = {rows[i][0] for i in np.searchsorted([b for _, _, b in rows], unknown, side="right").tolist()}
                 for row in range(first, rows[-1][0] + 1):  # a stride ends with a whole text
-                    done.append(finish(texts[row], np.concatenate(out[row]), row not in strange))
+                    row_ids = np.concatenate(out[row])
+                    done.append(finish(texts[row], row_ids, row not in strange))
+                    held += len(row_ids)
                     out[row] = []
+                    if held >= IDS_AT_ONCE or given + len(done) == len(keys):
+                        batches.append(_batch(done, wanted, keys[given: given + len(done)]))
+                        done, held, given = [], 0, given + len(done)
                 first = rows[-1][0] + 1
-        return pd.DataFrame(done, columns=list(wanted)).assign(key=[k for keys in block["keys"] for k in keys])
+        return pa.Table.from_batches(batches)
 
     return place
 
@@ -332,7 +358,7 @@ def _encoded(docs: DataFrame, key: str, text: str, path: str, wanted: tuple[str,
     dealt = dealt.mapInPandas(_pack_texts, f"block int, keys array<{kind}>, sizes binary, texts binary")
     words = dealt.groupBy("block").applyInPandas(_list_words(path, buckets), "block int, bucket int, sizes binary, words binary")
     encoded = words.repartition("bucket").mapInPandas(_encode_words(path), "block int, bucket int, sizes binary, ids binary")
-    placed = dealt.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
+    placed = dealt.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(
         _place_ids(path, buckets, wanted), ", ".join([f"key {kind}", *(f"{w} {KINDS[w]}" for w in wanted)]))
     return placed.select(F.col("key").alias(key), *wanted)
 

@@ -10,10 +10,12 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pavelake.llm import bpe, components, dartminhash, decontam, embeddings, langid, licenses, passages, secrets
+from pavelake.llm import arrays, bpe, components, dartminhash, decontam, embeddings, langid, licenses, passages, secrets
 from pavelake.llm import suffixtree, toxicity
 from pavelake.llm.common import narrow_batches
 
@@ -62,6 +64,47 @@ def test_bpe_keeps_repeated_and_null_keys_and_takes_an_empty_table(spark):
     assert bpe.digest(frame(spark, [])).count() == 0
 
 
+def test_bpe_hands_a_block_on_in_batches_of_few_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "IDS_AT_ONCE", 50)
+    texts = [prose(i, n) for i, n in enumerate((5, 0, 40, 1, 200, 3, 90))] + [""]
+    block = pd.DataFrame({"block": 0, "key": [4, 2, None, 1, 1, 7, 8, 9], "text": texts})
+    dealt = pa.table({"keys": pa.array([[4, 2, None, 1], [1, 7, 8, 9]], pa.list_(pa.int64()))})
+    packed = pd.concat(bpe._pack_texts(iter([block[:4], block[4:]])))
+    for name in ("sizes", "texts"):
+        dealt = dealt.append_column(name, pa.array(packed[name].tolist(), pa.binary()))
+    words = bpe._list_words(bpe.VOCABULARY, 16)(packed)
+    encoded = pd.concat(bpe._encode_words(bpe.VOCABULARY)(iter([words])))
+    out = bpe._place_ids(bpe.VOCABULARY, 16, ("ids", "n_tokens"))(dealt, pa.Table.from_pandas(encoded, preserve_index=False))
+    tokenizer = bpe._tokenizer(bpe.VOCABULARY)
+    assert out["key"].to_pylist() == [4, 2, None, 1, 1, 7, 8, 9]
+    assert out["ids"].to_pylist() == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    most = max(out["n_tokens"].to_pylist())
+    assert len(out.to_batches()) > 1 and all(sum(b["n_tokens"].to_pylist()) <= 50 + most for b in out.to_batches())
+
+
+def test_bpe_keeps_no_table_of_another_step_while_it_places_ids():
+    bpe.encoder()
+    test = pa.table({"keys": pa.array([[1]], pa.list_(pa.int64())), "sizes": [bpe._packed(np.array([0]))], "texts": [bpe._packed(b"")]})
+    none = pa.table({"bucket": pa.array([], pa.int32()), "sizes": pa.array([], pa.binary()), "ids": pa.array([], pa.binary())})
+    assert bpe._place_ids(bpe.VOCABULARY, 16, ("ids",))(test, none).to_pydict() == {"key": [1], "ids": [[]]}
+    assert not bpe._by_rank.cache_info().currsize
+
+
+def test_a_worker_gives_back_what_was_freed():
+    held = lambda: int(re.search(r"VmRSS:\s+(\d+)", open("/proc/self/status").read())[1]) / 1024
+    arrays.only("bpe")
+    parts = [bytes(2_000) for _ in range(100_000)]  # 200 MB in pieces, every tenth page of which stays in use
+    parts = parts[::500]
+    before = held()
+    arrays.give_back()
+    assert held() < before - 100 and len(parts) == 200
+
+
+def test_bpe_takes_a_table_of_empty_texts(spark):
+    found = bpe.digest(frame(spark, [(1, None), (2, ""), (None, "")]), ids=True).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids) for r in found) == [("1", 0, []), ("2", 0, []), ("None", 0, [])]
+
+
 # -- near-duplicates ------------------------------------------------------------------------------
 
 
