@@ -254,3 +254,97 @@ def test_a_round_of_boosting_is_a_job_a_level(spark, framed):
     (_, jobs), (_, more) = (
         counted_jobs(spark, f"{n} rounds", lambda n=n: regression.regressors(boosting_rounds=n)["Gradient Boosting"].fit(framed)) for n in (1, 21))
     assert 0 < more - jobs <= 3 * 20 + 2 + 4
+
+
+def test_a_forest_is_applied_in_arrays_as_it_transforms(spark, framed, tmp_path):
+    """Every prediction is that of Spark's own walk, to the last bit, of a fresh model and of one that was stored; Python, not Java, walks."""
+    from pavelake.operators.ensembles import applied
+
+    rows = framed.withColumn("row_id", F.xxhash64(*regression.FEATURES, "label", "vehicle_id"))
+    model = regression.regressors(forest_trees=9)["Random Forest"].fit(rows)
+    model.save(str(tmp_path / "forest"))
+    edge = [t for tree in model.trees for t in [tree.toDebugString] if "<=" in t]  # values at a threshold go left
+    cuts = sorted({float(line.split("<=")[1].rstrip(")").strip()) for text in edge for line in text.splitlines() if "<=" in line})
+    odd = spark.createDataFrame([(Vectors.dense([x] * model.numFeatures),) for x in [*cuts, -1.0, 1e9, float("nan")]], ["features"])
+    for found in (model, RandomForestRegressionModel.load(str(tmp_path / "forest"))):
+        for some in (rows, odd, odd.limit(0)):
+            mine, theirs = applied(found, some), found.transform(some)
+            assert mine.columns == theirs.columns and mine.exceptAll(theirs).isEmpty() and theirs.exceptAll(mine).isEmpty()
+        assert "ArrowEvalPython" in applied(found, rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_uniform_numbers_in_arrays_are_those_of_the_column(spark):
+    from pavelake.operators.ensembles import uniform, uniform_numbers
+
+    ids = spark.range(-2_000, 2_000).select((F.col("id") * 4_611_000_018_427_387).alias("row_id"))
+    columns = [F.array(*[uniform(F.col("row_id"), F.lit(tree), F.lit(x)) for tree in range(5)]).alias(x) for x in "uv"]
+    got = ids.select(F.xxhash64("row_id").alias("seed"), *columns).toPandas()
+    for letter in "uv":
+        assert (uniform_numbers(got.seed.to_numpy(), 5, letter) == np.stack(got[letter])).all()
+
+
+def test_patterns_of_two_bins_count_as_each_feature_does():
+    from pavelake.operators.ensembles import histogram, packed
+
+    rng = np.random.default_rng(5)
+    sizes = [1, 2, 3, 2, *[2] * 17, 40, 1]
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    codes = np.stack([rng.integers(0, n, 900) for n in sizes]).astype(np.uint8)
+    node, weights = rng.integers(0, 6, 900), [rng.integers(1, 9, 900).astype(float), None]
+    columns, read = packed(codes, starts)
+    assert len(columns) == 1 + 2 + 3  # the first, two wide ones, 19 of two bins
+    got = histogram(columns, read, node, 6, starts, weights)
+    for f, n in enumerate(sizes[:-1]):
+        for i, w in enumerate(weights):
+            want = np.bincount(node * n + codes[f], w, 6 * n).reshape(6, n)
+            assert (got[i, :, starts[f]:starts[f + 1]] == want).all()
+
+
+def test_boosting_in_one_task_is_boosting_by_all(spark, framed, monkeypatch):
+    """Few rows are taken by one task, ten rounds a job; more rows are counted by all. The trees are the same."""
+    from pavelake.operators import ensembles
+
+    found = []
+    for most in (ensembles.ALONE_ROWS, 0):
+        monkeypatch.setattr(ensembles, "ALONE_ROWS", most)
+        model, jobs = counted_jobs(spark, f"alone up to {most}", lambda: regression.regressors(boosting_rounds=13)["Gradient Boosting"].fit(framed))
+        found.append((jobs, model.transform(framed).select("vehicle_id", "event_ts", F.round("prediction", 6)).collect()))
+    assert found[0][0] < found[1][0] - 25
+    assert sorted(found[0][1]) == sorted(found[1][1])
+
+
+def test_collapsed_rows_of_many_partitions_are_few_tasks(spark, rows):
+    """A small table is not fitted by a task for every shuffle partition."""
+    from pavelake.session import setting
+
+    seen = []
+
+    class Seen(type(regression.regressors()["Linear Regression"])):
+        def fit(self, frame, params=None):
+            seen.append(frame.rdd.getNumPartitions())
+            return super().fit(frame, params)
+
+    plain = rows.drop("bucket", "is_train", "label")
+    with setting(spark, "spark.sql.shuffle.partitions", "64"):
+        train.fit_all(plain, {"seen": Seen(labelCol="label", tol=1e-12, maxIter=1000)})
+    assert seen and seen[0] <= max(1, spark.sparkContext.defaultParallelism)
+
+
+def test_a_stored_pipeline_takes_its_nodes_from_the_table(spark, rows, tmp_path):
+    """Tasks copy the nodes; what is stored is what Spark itself would have stored, parameters included."""
+    from pyspark.ml import PipelineModel
+
+    from pavelake.operators.ensembles import applied, load_pipeline, save_pipeline
+
+    plain = rows.drop("bucket", "is_train", "label")
+    for name, few in (("Random Forest", regression.regressors(forest_trees=5)), ("Gradient Boosting", regression.regressors(boosting_rounds=3))):
+        model = train.fit_all(plain, {name: few[name]}).best
+        model.stages[-1].setPredictionCol("told")
+        save_pipeline(spark, model, str(tmp_path / f"mine {name}"))
+        model.write().save(str(tmp_path / f"theirs {name}"))
+        mine, theirs = (PipelineModel.load(str(tmp_path / f"{who} {name}")) for who in ("mine", "theirs"))
+        assert mine.stages[-1].toDebugString == theirs.stages[-1].toDebugString
+        assert mine.stages[-1].extractParamMap() == theirs.stages[-1].extractParamMap()
+        want = theirs.transform(rows).select("vehicle_id", "event_ts", "told")
+        got = applied(load_pipeline(str(tmp_path / f"mine {name}")), rows).select("vehicle_id", "event_ts", "told")
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
